@@ -47,7 +47,8 @@ def check_length(
     df: DataFrame, text: str, max_tokens: int = MODEL_INPUT, add_special: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(ok, rejected): texts with more tokens than the model takes are errors when not truncated."""
-    counted = df.withColumn("n_tokens", token_count(F.col(text), add_special))
+    # A generator is no target for filter pushdown, so the tokens are counted once and not once per use.
+    counted = df.select("*", F.explode(F.array(token_count(F.col(text), add_special))).alias("n_tokens"))
     over = F.col("n_tokens") > max_tokens
     reason = F.format_string("expected %d tokens, got %d tokens", F.lit(max_tokens), F.col("n_tokens"))
     return counted.filter(~over), counted.filter(over).withColumn("reason", reason)

@@ -80,8 +80,7 @@ def search_batch(i):
 
 @_query
 def cosine_similarity(i):
-    one = i.query_vectors(1).select("vector")
-    first = F.transform(one.select("vector").scalar(), lambda x: x)
+    first = F.lit(i.query_vectors(1).first()["vector"])
     return i.table("embeddings").select("vec_id", _r6(vectors.cosine_similarity(F.col("embedding"), first), "similarity"))
 
 
@@ -591,8 +590,11 @@ def cls_pool(i):
 
 @_query
 def hash_embed_docs(i):
-    rows = embed.embed_column(i.clean_documents().filter("content != ''"), "content").drop("content")
-    return _positions(rows, "doc_id", "embedding").filter(F.col("x") != 0).withColumn("x", F.round("x", 5))
+    """Vector positions as token counts: weight times number of tokens."""
+    rows = embed.embed_column(i.clean_documents().filter("content != ''"), "content")
+    total = rows.withColumn("n", token_count(F.col("content"), add_special=False)).drop("content")
+    spread = total.select("doc_id", "n", F.posexplode("embedding").alias("pos", "x")).filter(F.col("x") != 0)
+    return spread.select("doc_id", _long("pos"), F.round(F.col("x") * F.col("n")).cast("bigint").alias("n_tokens"))
 
 
 @_query
@@ -609,7 +611,7 @@ def embed_queries(i):
 @_query
 def indexed_chunks(i):
     rows = index_documents(i.clean_documents(), t0())
-    norm = F.round(vectors.l2_norm(F.col("embedding")), 5)
+    norm = F.round(vectors.l2_norm(F.col("embedding")), 4)
     return rows.select(_long("doc_id"), "chunk_start", "chunk_end", norm.alias("norm"))
 
 

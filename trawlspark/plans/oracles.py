@@ -359,11 +359,10 @@ def oracle_sql() -> dict[str, str]:
         ({flat.format(key='label', v='embedding', src='embeddings')}) GROUP BY label, pos"""
     q["cls_pool"] = f"""SELECT label, pos, round(x::DOUBLE, 6) AS x FROM ({flat.format(key='label', v='v',
         src='(SELECT label, arg_min(embedding, vec_id) AS v FROM embeddings GROUP BY label)')})"""
-    q["hash_embed_docs"] = _sql("""SELECT doc_id, bucket AS pos, round(n * 1.0::DOUBLE / sum(n) OVER (PARTITION BY doc_id), 5) AS x
-        FROM buckets""", "buckets")
+    q["hash_embed_docs"] = _sql("SELECT doc_id, bucket AS pos, n AS n_tokens FROM buckets", "buckets")
     q["embed_queries"] = f"""SELECT doc_id, CASE WHEN ok THEN 1.0::DOUBLE END AS norm, CASE WHEN ok THEN 'ok' ELSE 'empty text' END
         AS reason FROM (SELECT doc_id, doc_id % 9 <> 4 AND {_first_words(_clean('text'), 5)} <> '' AS ok FROM documents)"""
-    q["indexed_chunks"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, round(coalesce(norm, 1.0), 5) AS norm
+    q["indexed_chunks"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, round(coalesce(norm, 1.0), 4) AS norm
         FROM spans s LEFT JOIN norms USING (doc_id, chunk_no)""", "spans", "norms")
     q["collected_arrays"] = _sql("""SELECT doc_id, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id) AS chunk_ids,
         coalesce(string_agg(chunk_start::VARCHAR, ',' ORDER BY chunk_id), '') AS starts FROM chunk GROUP BY doc_id""", "chunk")

@@ -78,12 +78,17 @@ class Tables:
         self.append("chunks", checked.withColumn("doc_id", F.when(orphan, error).otherwise(F.col("doc_id"))))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """New table state. It is complete under another name before the old one goes, so ``df`` may read the old."""
-        staged = f"{self.db}.{name}__next"
+        """New table state. It is complete under another name before the old one goes, so ``df`` may read the old.
+
+        Documents are laid out by doc_id: a lookup of a page's ids then skips nearly all row groups.
+        """
+        staged, key = f"{self.db}.{name}__next", _BUCKET_KEY[name]
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        schema = TABLES[name]
-        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        rows.write.format("parquet").saveAsTable(staged)
+        self.spark.sql(f"CREATE TABLE {staged} LIKE {self.db}.{name}")
+        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
+        if name == "documents":
+            rows = rows.repartitionByRange(key).sortWithinPartitions(key)
+        rows.write.insertInto(staged)
         self.spark.sql(f"DROP TABLE {self.db}.{name}")
         self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.db}.{name}")
 
