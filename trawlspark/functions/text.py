@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The parts that cleaning deletes. (?d) makes "." stop only at a line feed.
-SNIPPET_PATTERN = r"(?d)\[.*?\]|[^\x00-\x7F]+| {4}|[\t\n\r]"
-INDEX_PATTERN = SNIPPET_PATTERN + r"|<[^>]*>"
+# What cleaning deletes: square brackets with what is between them on one line, everything outside ASCII, runs of four
+# blanks, tabs and line breaks; for the index also tags. Possessive, so that no match is tried twice.
+SNIPPET_PATTERN = r"[\t\n\r\P{ASCII}]++|\[[^\n\]]*+\]| {4}"
+INDEX_PATTERN = SNIPPET_PATTERN + r"|<[^>]*+>"
 
 # The English stop words.
 STOPWORDS = tuple(

@@ -14,7 +14,7 @@ TokenSpans = Callable[[str], Sequence[tuple[str, int, int]]]
 
 _TOKENS = "array<struct<pos:int,token:string,start:int,end:int>>"
 # Possessive forms, so that Java walks a counted run of tokens in a loop and never backtracks into a token.
-_ONE = r"\s*+(?:[A-Za-z0-9_]++|[^A-Za-z0-9_\s])"
+_ONE = r"\s*+(?:\w++|[^\w\s])"
 
 
 def tokenize(df: DataFrame, text: str, tokenizer: TokenSpans | None = None, add_special: bool = True) -> DataFrame:
@@ -109,23 +109,25 @@ def chunk_spans(
     step = size - overlap
     kept = [c for c in df.columns if c != text]
     marked = F.concat(F.lit("x "), F.col(text))
-    run = f"((?:{_ONE}){{1,{step - 1}}}+)(?:{_ONE})?+"
-    runs = df.filter(F.col(text) != "").select(
-        *df.columns,
-        F.regexp_extract_all(marked, F.lit(run), F.lit(0)).alias("_runs"),
-        F.transform(F.regexp_extract_all(marked, F.lit(run), F.lit(1)), F.length).alias("_short"),
-        (token_count(F.col(text)) % step == 1).alias("_marker_only"),
+    runs = df.select(
+        *kept,
+        (F.col(text) == "").alias("_empty"),
+        F.regexp_extract_all(marked, F.lit(f"(?:{_ONE}){{1,{step}}}+"), F.lit(0)).alias("_runs"),
     )
-    lens = runs.withColumn("_lens", F.transform("_runs", F.length))
+    # A full last run leaves no place for the end marker, which becomes a chunk of its own.
+    full = token_count(F.element_at("_runs", -1), add_special=False) == step
+    lens = runs.withColumns({"_lens": F.transform("_runs", F.length), "_marker_only": full})
     total = lambda upto: F.aggregate(F.slice("_lens", 1, upto), F.lit(0), lambda a, x: a + x)
     last = F.size("_runs")
 
     def piece(r: Column, i: Column) -> Column:
-        before, final = total(i), i + 1 == last
+        before = total(i)
         begins = F.length(r) - F.length(F.regexp_replace(r, r"^\s+", ""))
-        # The last run ends with the text, unless the end marker falls into a chunk of its own.
-        whole = final & ~F.col("_marker_only")
-        stop = before + F.when(whole, F.length(r)).otherwise(F.get("_short", i))
+        # The last run ends with the text, unless the end marker falls into a chunk of its own; others end one token
+        # early. Read backwards, that token is found at once.
+        last_token = F.length(F.regexp_extract(F.reverse(r), r"^(?:\w++|[^\w\s])\s*+", 0))
+        whole = (i + 1 == last) & ~F.col("_marker_only")
+        stop = before + F.length(r) - F.when(whole, F.lit(0)).otherwise(last_token)
         return F.struct(
             i.alias("chunk_no"),
             F.when(i == 0, 0).otherwise(before + begins - 2).cast("bigint").alias("chunk_start"),
@@ -140,8 +142,8 @@ def chunk_spans(
         *([F.lit("").alias("input")] if with_input else []),
     )
     pieces = F.transform("_runs", piece)
-    chunks = F.when(F.col("_marker_only"), F.concat(pieces, F.array(tail))).otherwise(pieces)
-    return lens.select(*kept, F.inline(chunks))
+    extra = F.when(F.col("_marker_only"), F.array(tail)).otherwise(F.slice(F.array(tail), 1, 0))
+    return lens.select(*kept, F.inline(F.when(~F.col("_empty"), F.concat(pieces, extra))))
 
 
 def _run_input(run: Column, i: Column, overlap: int) -> Column:

@@ -12,7 +12,7 @@ from ..functions import urls, vectors
 from ..functions.ids import new_id
 from ..functions.tokens import token_array, token_count, truncate_tokens
 from ..operators import arrays, chunks, documents, embed, frontier, kv, pages, robots, search, sites, snippets
-from ..session import configure, fresh_dir
+from ..session import configure, fresh_dir, spread
 from ..sources import messages
 from ..sources.tables import create_tables, drop_tables
 from ..streaming import rules
@@ -105,7 +105,7 @@ def result_cards(i):
 
 
 def _asked(i: Inputs) -> DataFrame:
-    docs = i.documents().withColumn("query", F.substring_index("content", " ", 5))
+    docs = spread(i.documents(), "doc_id").withColumn("query", F.substring_index("content", " ", 5))
     return docs.withColumn("asked", tx.query_text(F.col("query"), F.col("title")))
 
 
@@ -167,13 +167,13 @@ def clean_text(i):
 
 @_query
 def clean_snippet_text(i):
-    return i.table("documents").select("doc_id", tx.clean_snippet_text("text").alias("content"))
+    return i.spread("documents", "doc_id").select("doc_id", tx.clean_snippet_text("text").alias("content"))
 
 
 @_query
 def word_count(i):
     counted = F.size(tx.words(tx.clean_snippet_text("text"))).cast("bigint")
-    return i.table("documents").select("doc_id", counted.alias("n_words"))
+    return i.spread("documents", "doc_id").select("doc_id", counted.alias("n_words"))
 
 
 @_query

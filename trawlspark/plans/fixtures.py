@@ -9,6 +9,7 @@ from ..functions.text import clean_text
 from ..functions.urls import url_host
 from ..operators.pages import extract_pages, link_rows
 from ..operators.robots import DEFAULT_AGENT
+from ..session import spread
 
 T0 = "timestamp'2024-01-01 00:00:00'"
 
@@ -30,6 +31,9 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        return spread(self.table(name), key)
+
     def stream(self, name: str, **options: str) -> DataFrame:
         schema = self.table(name).schema
         reader = self.spark.readStream.schema(schema).options(**options)
@@ -95,7 +99,7 @@ class Inputs:
         return self.table("pages").select(p.alias("page_id"), F.to_json(F.struct(sites.alias("sites"))).alias("config"))
 
     def parsed_pages(self) -> DataFrame:
-        return extract_pages(self.table("pages"))
+        return extract_pages(self.spread("pages", "page_id"))
 
     def links(self) -> DataFrame:
         pages = self.parsed_pages().withColumn("depth", (F.col("page_id") % 3).cast("int"))
@@ -170,5 +174,9 @@ class Inputs:
         return base.filter(F.col("doc_id") % 3 != 0), new
 
     def clean_documents(self) -> DataFrame:
-        """(doc_id, content) in the cleaned form that is indexed."""
-        return self.table("documents").select("doc_id", clean_text("text").alias("content"))
+        """(doc_id, content) in the cleaned form that is indexed.
+
+        The generator stands for the stored column: filters on the content stay above it and do not clean again.
+        """
+        text = F.explode(F.array(clean_text("text")))
+        return self.spread("documents", "doc_id").select("doc_id", text.alias("content"))

@@ -70,3 +70,19 @@ def durable(df):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+# A scan of at most this many splits counts as small.
+_SMALL_SPLITS = 256
+
+
+def spread(df, key: str):
+    """Work of heavy per-row steps for all cores, where the input is a small file.
+
+    A small file is often one row group and so one task, however many cores there are. Inputs of many splits are
+    returned as they are: at that size a scan feeds all cores and a shuffle of whole texts would only cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= min(4 * cores, _SMALL_SPLITS):
+        return df
+    return df.repartition(cores, key)
