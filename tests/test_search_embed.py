@@ -58,6 +58,18 @@ def test_pages_equal_brute_force(spark, fk, block):
         assert all(doc[c] == d for _, c, d in page)
 
 
+def test_many_queries_go_in_blocks(spark, monkeypatch):
+    """More queries than one fetch takes: blocks by hash, nothing lost."""
+    monkeypatch.setattr(search, "PAGE_LOOKUP_ROWS", 3)
+    chunks, v, _ = make_chunks(spark, 200)
+    queries, q = make_queries(spark, 9)
+    got = search.top_documents(chunks, docs(spark, range(201)), queries, 1, 0, True, 300).collect()
+    for r in got:
+        n = int(r["query_id"][1:])
+        assert r["similarity"] == pytest.approx(max(v @ q[n] / np.linalg.norm(v, axis=1)) / np.linalg.norm(q[n]))
+    assert len(got) == 9
+
+
 def test_missing_documents_take_no_places(spark):
     chunks, v, doc = make_chunks(spark)
     queries, q = make_queries(spark, 1)

@@ -40,7 +40,8 @@ def tokenize(df: DataFrame, text: str, tokenizer: TokenSpans | None = None, add_
             out.append([{"pos": i, "token": k, "start": s, "end": e} for i, (k, s, e) in enumerate(found)])
         return pd.Series(out)
 
-    return df.withColumn("tokens", spans(F.col(text)))
+    # Not repeatable for the optimizer, which else puts a copy of the call below filters on its result.
+    return df.withColumn("tokens", spans.asNondeterministic()(F.col(text)))
 
 
 def check_length(

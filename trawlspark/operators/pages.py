@@ -41,6 +41,12 @@ def _resolve(base: pd.Series, hrefs: pd.Series) -> pd.Series:
     return pd.Series([page_links(b, h) if h is not None else None for b, h in zip(base, hrefs)])
 
 
+# Filters on a result would be pushed below the call and read every page a second time; Spark keeps its hands off
+# functions it may not repeat.
+_read_page = _read_page.asNondeterministic()
+_resolve = _resolve.asNondeterministic()
+
+
 def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Adds title, body, hrefs and resolved links. HTML is read once, in Arrow batches; ``html`` itself is dropped."""
     kept = [c for c in pages.columns if c not in (html, "title", "body", "hrefs", "links")]

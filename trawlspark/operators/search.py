@@ -29,20 +29,31 @@ def check_page(limit: int, offset: int) -> None:
             raise ValueError(f"{name} must be between 0 and 2147483647")
 
 
+def small_copy(df: DataFrame, max_rows: int = PAGE_LOOKUP_ROWS) -> DataFrame | None:
+    """``df`` as a local table if it has at most ``max_rows`` rows, so that it is computed once; else None."""
+    head = df.limit(max_rows + 1).toArrow()
+    return None if head.num_rows > max_rows else df.sparkSession.createDataFrame(head, df.schema)
+
+
 def _query_blocks(query_vectors: DataFrame, block_bytes: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Query ids and unit vectors, block by block; each block is fetched on its own and is of checked size."""
+    """Query ids and unit vectors, block by block; every fetch is of checked size."""
     rows = query_vectors.filter(F.col("vector").isNotNull()).select("query_id", F.col("vector").cast("array<double>"))
-    total = rows.agg(F.sum(F.size("vector").cast("bigint") * 8 + 64).alias("b")).first()["b"] or 0
-    blocks = 1 if total <= block_bytes else int(-(-2 * total // block_bytes))
-    part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    for b in range(blocks):
-        table = (rows if blocks == 1 else rows.filter(part == b)).toArrow().combine_chunks()
+    head = rows.limit(PAGE_LOOKUP_ROWS + 1).toArrow().combine_chunks()
+    if head.num_rows <= PAGE_LOOKUP_ROWS:
+        step = max(1, block_bytes * head.num_rows // max(head.nbytes, 1))
+        tables = (head.slice(at, step) for at in range(0, head.num_rows, step))
+    else:
+        total = rows.agg(F.sum(F.size("vector").cast("bigint") * 8 + 64).alias("b")).first()["b"]
+        blocks = int(-(-2 * total // block_bytes))
+        part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+        tables = (rows.filter(part == b).toArrow() for b in range(blocks))
+    for table in tables:
         if not table.num_rows:
             continue
         matrix = np.array(table.column("vector").to_pylist(), dtype=np.float64)
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         with np.errstate(invalid="ignore", divide="ignore"):
-            yield table.column("query_id").combine_chunks(), matrix / norms
+            yield table.combine_chunks().column("query_id").combine_chunks(), matrix / norms
 
 
 def _similarities(batch: pa.RecordBatch, unit_queries: np.ndarray) -> np.ndarray:

@@ -27,9 +27,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """One read, and so one look at the file footers, per table."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._read[name]
 
     def spread(self, name: str, key: str) -> DataFrame:
         return spread(self.table(name), key)

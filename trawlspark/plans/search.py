@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.embed import EmbedConfig, embed_texts
-from ..operators.search import PAGE_LOOKUP_ROWS, attach_documents, top_documents
+from ..operators.search import attach_documents, small_copy, top_documents
 from ..operators.snippets import summarize_hits
 
 
@@ -24,6 +24,8 @@ def search_vectors(
     Per-query columns limit and offset, if present, replace the two arguments. ``lookup`` fetches a small page's
     ids first, so that the document scan can skip by statistics; without it the plan stays lazy to the end.
     """
+    few = small_copy(query_vectors)
+    query_vectors = query_vectors if few is None else few
     own_pages = {"limit", "offset"} <= set(query_vectors.columns)
     rows = None
     if own_pages:
@@ -38,8 +40,8 @@ def search_vectors(
         ).drop("_l", "_o")
     else:
         ranked = top_documents(chunks, documents, query_vectors, limit, offset, assume_fk)
-        if lookup:
-            rows = limit * query_vectors.limit(PAGE_LOOKUP_ROWS + 1).count()
+        if few is not None:
+            rows = limit * few.count()
     hits = attach_documents(ranked, documents, rows if lookup else None)
     asked = hits.join(query_vectors.select("query_id", "query"), "query_id")
     return summarize_hits(asked).select(
