@@ -8,7 +8,7 @@ from trawlspark.operators.embed import EmbedConfig
 from trawlspark.session import fresh_dir
 from trawlspark.sources.queues import read_ids, write_ids
 from trawlspark.streaming import rules
-from trawlspark.streaming.stages import StageTables, embed_batch, parse_batch, start_embed, start_parse
+from trawlspark.streaming.stages import StageTables, embed_batch, parse_batch, start_crawl, start_embed, start_parse
 
 ONCE = {"availableNow": True}
 T0 = dt.datetime(2024, 1, 1)
@@ -131,3 +131,26 @@ def test_payload_join_over_batches(spark, rows, tmp_path):
     put = feed(spark, str(tmp_path / "p"), "id string, put_ts timestamp, body string", [("a", T0, "A"), ("b", T0, "B")], [("c", T0 + 60 * s, "C")])
     ids = feed(spark, str(tmp_path / "i"), "id string, get_ts timestamp", [("a", T0 + 599 * s)], [("b", T0 + 600 * s), ("c", T0 + 61 * s), ("x", T0)])
     assert rows(drain(spark, rules.payload_stream(ids, put)), "id", "body") == [("a", "A"), ("c", "C")]
+
+
+def test_crawl_rounds_feed_the_parser(spark, rows, tmp_path):
+    """Two rounds at two links per host: the queue moves on, visits hold, found links join the queue."""
+    tables = StageTables(spark, str(tmp_path / "t"))
+    minute = dt.timedelta(minutes=1)
+    queue = [(f"http://h.org/{i}", "h.org", 0, T0 + i * minute, T0) for i in range(5)]
+    tables.write("frontier", 0, spark.createDataFrame(
+        queue, "url string, host string, depth int, created_at timestamp, updated_at timestamp"))
+    answer = "url string, status int, content_type string, body string"
+    responses = feed(
+        spark, str(tmp_path / "r"), answer,
+        [("http://h.org/0", 200, "text/html", page("zero", "/new", "/3")), ("http://h.org/1", 200, "image/png", "")],
+        [("http://h.org/2", 200, "text/html", page("two"))],
+    )
+    sites = spark.createDataFrame([("h.org", 3, 1.0)], "host string, depth int, interval_s double")
+    rules_table = spark.createDataFrame([], "host string, agent string, kind string, prefix string, section int, pos int")
+    start_crawl(responses, tables, sites, rules_table, str(tmp_path / "c"), now(), ONCE, per_host=2).awaitTermination()
+    assert rows(tables.read("taken"), "url") == [(f"http://h.org/{i}",) for i in range(4)]
+    assert rows(tables.read("visits"), "url") == [(f"http://h.org/{i}",) for i in range(3)]
+    assert rows(tables.frontier(), "url") == [("http://h.org/4",)]
+    start_parse(tables.messages(), tables, sites, str(tmp_path / "c2"), now(), ONCE).awaitTermination()
+    assert rows(tables.documents(), "url") == [("http://h.org/0",), ("http://h.org/2",)]

@@ -16,7 +16,7 @@ from ..session import configure, fresh_dir, spread
 from ..sources import messages
 from ..sources.tables import create_tables, drop_tables
 from ..streaming import rules
-from ..streaming.stages import StageTables, start_embed, start_parse
+from ..streaming.stages import StageTables, start_crawl, start_embed, start_parse
 from .crawl import crawl_round
 from .fixtures import Inputs, as_of, t0
 from .index import index_documents
@@ -348,6 +348,15 @@ def requeue(i):
     return frontier.requeue(rest, taken.filter(F.col("url_id") % 2 == 0)).select("url_id", "host")
 
 
+@_query
+def refill_queue(i):
+    """A short work list is filled up from the frontier, a full one is not."""
+    taken, rest = frontier.dequeue(i.frontier(), i.sites(), 3)
+    filled = frontier.refill(rest.limit(0), taken, 1).select(F.lit("short").alias("held"), "url_id")
+    kept = frontier.refill(rest, taken, 1).select(F.lit("full").alias("held"), "url_id")
+    return filled.unionByName(kept)
+
+
 @_query
 def visited_filter(i):
     return frontier.not_visited(i.frontier(), i.visited(), as_of()).select("url_id", "url")
@@ -675,6 +684,23 @@ def stream_rate_limit(i):
     return got.select("seq", "accepted")
 
 
+@_query
+def stream_crawl(i):
+    """One round over the whole frontier's answers."""
+    home = fresh_dir(i.spark, "crawl")
+    tables = StageTables(i.spark, home)
+    tables.write("frontier", 0, i.frontier().withColumn("updated_at", t0()))
+    kind = F.col("page_id") % 5
+    types = F.when(kind == 0, "text/html; charset=utf-8").when(kind == 1, "text/plain").when(kind == 2, "image/png").when(kind == 4, "bad")
+    answers = i.stream("pages").select("url", F.lit(200).alias("status"), types.alias("content_type"), F.col("html").alias("body"))
+    rules_table = robots.parse_robots(i.robots())
+    start_crawl(answers, tables, i.sites(), rules_table, f"{home}/checkpoint", as_of(), _NOW).awaitTermination()
+    sent, _ = messages.read_messages(tables.read("messages").select("message"))
+    rows = sent.select(F.lit("message").alias("output"), "url")
+    rows = rows.unionByName(tables.read("visits").select(F.lit("visit").alias("output"), "url"))
+    return rows.unionByName(tables.frontier().select(F.lit("frontier").alias("output"), "url"))
+
+
 @_query
 def stream_parse(i):
     home = fresh_dir(i.spark, "parse")

@@ -93,6 +93,8 @@ _CTE = {
             WHEN f.url IN (SELECT url FROM visited WHERE visited_at + INTERVAL 7 DAYS > {_AS_OF}) THEN 'url exists in redis'
             ELSE 'all checks passed' END AS reason
         FROM frontier f LEFT JOIN sites s USING (host) JOIN permitted p USING (url_id)""",
+    "judged_fresh": """SELECT f.*, f.depth < coalesce(s.depth, 99) AND p.allowed AS ok
+        FROM frontier f LEFT JOIN sites s USING (host) JOIN permitted p USING (url_id)""",
     "judged": """SELECT url_id, url, CASE WHEN reason = 'all checks passed' AND interval_s * row_number() OVER
             (PARTITION BY host, reason ORDER BY created_at, url_id) > 1.0 THEN 'rate limit exceeded' ELSE reason END AS reason
         FROM judged0""",
@@ -151,6 +153,8 @@ _CTE = {
     "configs": f"""SELECT page_id, 0 AS pos, url, CASE WHEN page_id % 3 <> 0 THEN page_id % 4 END AS depth,
             CASE WHEN page_id % 5 <> 0 THEN 1 + page_id % 4 END AS rps FROM pages
         UNION ALL SELECT page_id, 1, 'https://' || {_host('url')} || '/', 2, 1 + page_id % 2 FROM pages WHERE page_id % 2 = 0""",
+    "taken100": """SELECT f.* FROM judged_fresh f WHERE host IN (SELECT host FROM sites)
+        QUALIFY row_number() OVER (PARTITION BY host ORDER BY created_at, url) <= 100""",
     "round0": """SELECT j.*, row_number() OVER (PARTITION BY j.host, j.reason ORDER BY j.created_at, j.url_id) AS slot
         FROM judged0 j JOIN taken t USING (url_id)""",
     "round": """SELECT *, CASE WHEN reason = 'all checks passed' AND slot * interval_s > 1.0 THEN 'late' ELSE reason END AS r FROM round0""",
@@ -171,7 +175,7 @@ _NEEDS = {
     "links": ["hrefs"], "linked": ["links"], "page_nodes": ["bare"], "page_docs": ["page_nodes"], "pieces": ["clean_docs"],
     "spans0": ["pieces"], "n_tok": ["clean_docs", "pieces"], "tokens": ["spans0", "pieces", "clean_docs"],
     "windows": ["n_tok"], "spans": ["windows", "tokens"], "asked": ["docs"], "word": ["asked"], "keys": ["word"],
-    "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "round": ["round0"],
+    "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "taken100": ["judged_fresh"], "judged_fresh": ["frontier", "sites", "permitted"], "round": ["round0"],
     "buckets": ["spans0"], "inputs": ["windows", "spans0"], "norms": ["inputs"],
 }
 
@@ -290,6 +294,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT url_id, host FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken)", "taken")
     q["requeue"] = _sql("""SELECT url_id, host FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken)
         UNION ALL SELECT url_id, host FROM taken WHERE url_id % 2 = 0""", "taken")
+    q["refill_queue"] = _sql("""SELECT 'short' AS held, url_id FROM taken
+        UNION ALL SELECT 'full', url_id FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken)""", "taken")
     q["visited_filter"] = _sql(f"""SELECT url_id, url FROM frontier WHERE url NOT IN (SELECT url FROM visited
         WHERE visited_at + INTERVAL 7 DAYS > {_AS_OF})""", "frontier", "visited")
     q["admission"] = _sql("SELECT url_id, reason = 'all checks passed' AS ok, reason FROM judged", "judged")
@@ -379,6 +385,9 @@ def oracle_sql() -> dict[str, str]:
     q["stream_rate_limit"] = chain.format(op=">", span="1 DAY") + """SELECT event_id AS seq,
         event_id IN (SELECT event_id FROM kept) AS accepted FROM events"""
     q["stream_payload_join"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 < 10"
+    q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken100 WHERE ok AND url_id % 5 IN (0, 1)
+        UNION ALL SELECT 'visit', url FROM taken100 WHERE ok AND url_id % 5 <> 4
+        UNION ALL SELECT 'frontier', url FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken100)""", "taken100")
     q["stream_parse"] = _sql("SELECT url, title, content FROM page_docs", "page_docs")
     q["stream_embed"] = _sql("SELECT doc_id, chunk_start, chunk_end FROM spans", "spans")
     return q

@@ -1,4 +1,4 @@
-"""Parse and embed stages as streaming queries over append-only stage tables.
+"""Crawl, parse and embed stages as streaming queries over append-only stage tables.
 
 Every trigger writes its rows below ``batch_id=<n>`` and overwrites only that folder, so a replayed trigger leaves
 the same tables. Earlier batches are read, never rewritten.
@@ -17,13 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.arrays import observed
 from ..operators.documents import lookup_documents
 from ..operators.embed import EmbedConfig, check_chunks
-from ..operators.frontier import enqueue_links, in_scope
+from ..operators.frontier import BATCH_PER_HOST, TOO_FAST, enqueue_links, in_scope
 from ..operators.pages import link_rows
+from ..operators.robots import DEFAULT_AGENT
+from ..plans.crawl import crawl_round
 from ..plans.index import index_documents
 from ..plans.parse import document_rows, read_pages
 from ..schemas import CHUNKS, DOCUMENTS, FRONTIER, QUEUE_MESSAGE
+from ..sources.messages import read_messages
 from ..sources.queues import write_ids
 
+_VISITS = T.StructType([T.StructField("url", T.StringType()), T.StructField("visited_at", T.TimestampType())])
+_TAKEN = T.StructType([T.StructField("url", T.StringType()), T.StructField("created_at", T.TimestampType())])
+_MESSAGES = T.StructType([T.StructField("id", T.StringType()), T.StructField("message", T.StringType())])
 REJECTS = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "url", "reason")])
 _LINKS = T.StructType([f for f in FRONTIER.fields if f.name != "url_id"])
 # Fixed value: pause between two rounds of the crawl loop.
@@ -39,6 +45,7 @@ class StageTables:
 
     _SCHEMAS = {
         "documents": DOCUMENTS, "frontier": _LINKS, "chunks": CHUNKS, "doc_ids": QUEUE_MESSAGE, "rejects": REJECTS,
+        "taken": _TAKEN, "visits": _VISITS, "messages": _MESSAGES,
     }
 
     def path(self, name: str, batch: int | None = None) -> str:
@@ -58,6 +65,16 @@ class StageTables:
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         rows.write.mode("overwrite").parquet(self.path(name, batch))
 
+    def frontier(self, before: int | None = None, taken_before: int | None = None) -> DataFrame:
+        """Queued links: all that were added and not taken since."""
+        taken = self.read("taken", taken_before).select("url", "created_at")
+        return self.read("frontier", before).drop("batch_id").join(taken, ["url", "created_at"], "left_anti")
+
+    def messages(self) -> DataFrame:
+        """Stream of the page messages (id, content, depth, url)."""
+        lines = self.spark.readStream.schema(_MESSAGES).option("recursiveFileLookup", "true").parquet(self.path("messages"))
+        return read_messages(lines.drop("id"))[0]
+
     def documents(self, before: int | None = None) -> DataFrame:
         """Current documents: identity from the first write of a URL, content from the last."""
         log = self.read("documents", before)
@@ -91,7 +108,7 @@ def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column) -> Callabl
             )
             tables.write("documents", batch, merged)
             links = in_scope(link_rows(pages, "id"), sites).select("url", "host", "depth")
-            tables.write("frontier", batch, enqueue_links(tables.read("frontier", batch), links, as_of))
+            tables.write("frontier", batch, enqueue_links(tables.frontier(batch), links, as_of))
             tables.write("rejects", batch, rejects)
             # Ids go out last, once all a later stage may look up is there.
             written = tables.spark.read.schema(DOCUMENTS).parquet(tables.path("documents", batch))
@@ -103,6 +120,24 @@ def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column) -> Callabl
     return run
 
 
+def crawl_batch(
+    tables: StageTables, sites: DataFrame, rules: DataFrame, as_of: Column, agent: str = DEFAULT_AGENT,
+    per_host: int = BATCH_PER_HOST, round_s: float | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of one crawl round: takes the oldest links of each host and the answers
+    (url, status, content_type, body) of the trigger; writes messages, visits and what left the queue."""
+
+    def run(responses: DataFrame, batch: int) -> None:
+        queue = tables.frontier(taken_before=batch).withColumn("url_id", F.col("url"))
+        visited = tables.read("visits", batch)
+        out = crawl_round(queue, sites, rules, visited, responses, as_of, agent, per_host, round_s)
+        tables.write("messages", batch, out.messages)
+        tables.write("visits", batch, out.visits)
+        tables.write("taken", batch, out.judged.filter(F.col("reason") != TOO_FAST))
+
+    return run
+
+
 def embed_batch(tables: StageTables, as_of: Column, cfg: EmbedConfig) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: document ids → chunks; unknown ids go to the rejects of the stage."""
 
@@ -126,6 +161,15 @@ def _start(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint:
     )
 
 
+def start_crawl(
+    responses: DataFrame, tables: StageTables, sites: DataFrame, rules: DataFrame, checkpoint: str,
+    as_of: Column | None = None, trigger: dict | None = None, **options,
+) -> StreamingQuery:
+    """Crawl rounds, one per trigger; by default the next one comes a pause later."""
+    run = crawl_batch(tables, sites, rules, as_of if as_of is not None else F.current_timestamp(), **options)
+    return _start(responses, run, checkpoint, trigger)
+
+
 def start_parse(
     messages: DataFrame, tables: StageTables, sites: DataFrame, checkpoint: str,
     as_of: Column | None = None, trigger: dict | None = None,
