@@ -110,3 +110,24 @@ def test_hot_host_is_split_in_the_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_python_calls_are_not_repeated(inputs, spark):
+    from trawlspark.operators import chunks, pages
+
+    ok, _ = pages.split_empty(inputs.parsed_pages())
+    links = inputs.links().filter("host is not null and pos > 0")
+    windows = chunks.chunk_windows(chunks.tokenize(inputs.clean_documents(), "content").drop("content"))
+    for df in (pages.page_content(ok), links, windows):
+        assert len(re.findall(r"\n\(\d+\) ArrowEvalPython", plan(df))) == 1
+
+
+def test_cleaning_and_json_run_once_per_row(inputs):
+    from trawlspark.operators.chunks import check_length
+    from trawlspark.sources.messages import read_messages, to_messages
+
+    ok, _ = check_length(inputs.clean_documents(), "content")
+    assert plan(ok).count("[^\\n\\]]*+") <= 3  # output, input and argument lines of one projection
+    rows = inputs.table("pages").selectExpr("url", "1 as depth", "html as content")
+    text = plan(read_messages(to_messages(rows, F.lit(0).cast("timestamp")).drop("id"))[0])
+    assert "Filter" not in text.split("Generate")[0] or "from_json" not in re.findall(r"Condition.*", text)[-1]

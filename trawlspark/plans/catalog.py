@@ -619,9 +619,12 @@ def embed_queries(i):
 
 @_query
 def indexed_chunks(i):
+    """Spans of all chunks, and which vector positions each one fills."""
     rows = index_documents(i.clean_documents(), t0())
-    norm = F.round(vectors.l2_norm(F.col("embedding")), 4)
-    return rows.select(_long("doc_id"), "chunk_start", "chunk_end", norm.alias("norm"))
+    slots = F.filter(F.transform("embedding", lambda x, k: F.when(x != 0, k)), lambda k: k.isNotNull())
+    filled = rows.select(_long("doc_id"), "chunk_start", "chunk_end", F.explode(F.array(slots)).alias("s"))
+    total = F.aggregate("s", F.lit(0), lambda a, k: a + k).cast("bigint")
+    return filled.select("doc_id", "chunk_start", "chunk_end", F.size("s").cast("bigint").alias("n_slots"), total.alias("slot_sum"))
 
 
 @_query

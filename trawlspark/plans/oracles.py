@@ -162,9 +162,8 @@ _CTE = {
         FROM spans0 GROUP BY 1, 2""",
     "inputs": """SELECT w.doc_id, w.chunk_no, t.token FROM windows w JOIN spans0 t ON t.doc_id = w.doc_id AND t.pos >= w.tok_start
         AND t.pos < CASE WHEN w.tok_end + 52 < w.n THEN w.tok_end + 52 ELSE w.tok_end END""",
-    "norms": """SELECT doc_id, chunk_no, sqrt(sum((n * 1.0::DOUBLE / total) ** 2)) AS norm FROM (SELECT doc_id, chunk_no, n,
-            sum(n) OVER (PARTITION BY doc_id, chunk_no) AS total FROM (SELECT doc_id, chunk_no,
-            ('0x' || substr(md5(lower(token)), 1, 8))::BIGINT % 64 AS b, count(*) AS n FROM inputs GROUP BY ALL)) GROUP BY ALL""",
+    "slots": """SELECT doc_id, chunk_no, count(DISTINCT b) AS n_slots, sum(DISTINCT b)::BIGINT AS slot_sum FROM (SELECT doc_id,
+        chunk_no, ('0x' || substr(md5(lower(token)), 1, 8))::BIGINT % 64 AS b FROM inputs) GROUP BY ALL""",
 }
 
 _NEEDS = {
@@ -176,7 +175,7 @@ _NEEDS = {
     "spans0": ["pieces"], "n_tok": ["clean_docs", "pieces"], "tokens": ["spans0", "pieces", "clean_docs"],
     "windows": ["n_tok"], "spans": ["windows", "tokens"], "asked": ["docs"], "word": ["asked"], "keys": ["word"],
     "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "taken100": ["judged_fresh"], "judged_fresh": ["frontier", "sites", "permitted"], "round": ["round0"],
-    "buckets": ["spans0"], "inputs": ["windows", "spans0"], "norms": ["inputs"],
+    "buckets": ["spans0"], "inputs": ["windows", "spans0"], "slots": ["inputs"],
 }
 
 
@@ -368,8 +367,9 @@ def oracle_sql() -> dict[str, str]:
     q["hash_embed_docs"] = _sql("SELECT doc_id, bucket AS pos, n AS n_tokens FROM buckets", "buckets")
     q["embed_queries"] = f"""SELECT doc_id, CASE WHEN ok THEN 1.0::DOUBLE END AS norm, CASE WHEN ok THEN 'ok' ELSE 'empty text' END
         AS reason FROM (SELECT doc_id, doc_id % 9 <> 4 AND {_first_words(_clean('text'), 5)} <> '' AS ok FROM documents)"""
-    q["indexed_chunks"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, round(coalesce(norm, 1.0), 4) AS norm
-        FROM spans s LEFT JOIN norms USING (doc_id, chunk_no)""", "spans", "norms")
+    q["indexed_chunks"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, coalesce(n_slots, 1) AS n_slots,
+        coalesce(slot_sum, ('0x' || substr(md5('[sep]'), 1, 8))::BIGINT % 64) AS slot_sum
+        FROM spans s LEFT JOIN slots USING (doc_id, chunk_no)""", "spans", "slots")
     q["collected_arrays"] = _sql("""SELECT doc_id, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id) AS chunk_ids,
         coalesce(string_agg(chunk_start::VARCHAR, ',' ORDER BY chunk_id), '') AS starts FROM chunk GROUP BY doc_id""", "chunk")
     q["unnest_zip"] = _sql("SELECT doc_id, chunk_id, chunk_start, chunk_end FROM chunk", "chunk")

@@ -75,9 +75,14 @@ class StageTables:
         lines = self.spark.readStream.schema(_MESSAGES).option("recursiveFileLookup", "true").parquet(self.path("messages"))
         return read_messages(lines.drop("id"))[0]
 
-    def documents(self, before: int | None = None) -> DataFrame:
-        """Current documents: identity from the first write of a URL, content from the last."""
+    def documents(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+        """Current documents: identity from the first write of a URL, content from the last.
+
+        ``ids`` (doc_id) narrows the log before versions are merged; all versions of a URL have one doc_id.
+        """
         log = self.read("documents", before)
+        if ids is not None:
+            log = log.join(ids, "doc_id", "left_semi")
         first = F.min_by(F.struct("doc_id", "title", "created_at"), "batch_id")
         last = F.max_by(F.struct("content", "updated_at"), "batch_id")
         current = log.groupBy("url").agg(first.alias("f"), last.alias("l"))
@@ -143,7 +148,7 @@ def embed_batch(tables: StageTables, as_of: Column, cfg: EmbedConfig) -> Callabl
 
     def run(ids: DataFrame, batch: int) -> None:
         wanted = ids.select(F.col("id").alias("doc_id")).distinct()
-        found, missing = lookup_documents(wanted, tables.documents())
+        found, missing = lookup_documents(wanted, tables.documents(ids=wanted))
         counted, _ = observed(index_documents(found, as_of, cfg), f"chunks_{batch}")
         tables.write("chunks", batch, check_chunks(counted, cfg.dims))
         lost = missing.select(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("url"), "reason")
