@@ -30,14 +30,6 @@ def last_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*")
 
 
-def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the lowest order value per key."""
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*")
-
-
 def mean_pool(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
     """Mean vector per key. Partial sums are built before the shuffle, so a hot key costs one row per task."""
     mean = Summarizer.mean(array_to_vector(F.col(vector)))

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import url_host, url_path
-from .arrays import first_per_key
 from .ranking import first_per_group, row_number_within
 from .robots import DEFAULT_AGENT, host_rules, path_allowed
 
@@ -44,9 +41,13 @@ def next_depth(depth: Column) -> Column:
     return depth + F.lit(1)
 
 
-def enqueue_links(frontier: DataFrame, links: DataFrame, as_of: Column, order: Sequence[str] = ("depth", "url")) -> DataFrame:
-    """Rows to append: links (url, host, depth) not in the frontier yet, one per URL, lowest ``order`` first."""
-    fresh = first_per_key(links, "url", list(order))
+def enqueue_links(frontier: DataFrame, links: DataFrame, as_of: Column) -> DataFrame:
+    """Rows to append: links (url, host, depth) not in the frontier yet, one per URL, at its lowest depth.
+
+    The host belongs to the URL, so grouping by both keeps one row per URL and lets the hash aggregate do it ahead of
+    the shuffle: a link found on very many pages travels once per task.
+    """
+    fresh = links.groupBy("url", "host").agg(F.min("depth").alias("depth"))
     return fresh.join(frontier.select("url"), "url", "left_anti").select(
         "url", "host", "depth", as_of.alias("created_at"), as_of.alias("updated_at")
     )
@@ -54,10 +55,9 @@ def enqueue_links(frontier: DataFrame, links: DataFrame, as_of: Column, order: S
 
 def dequeue(frontier: DataFrame, sites: DataFrame, batch: int = BATCH_PER_HOST) -> tuple[DataFrame, DataFrame]:
     """(taken, rest): the oldest rows of each configured host leave the frontier."""
-    keys = frontier.select("url_id", "host", "created_at")
-    oldest = first_per_group(in_scope(keys, sites), ["host"], [F.col("created_at"), F.col("url_id")], batch)
-    ids = oldest.select("url_id")
-    return frontier.join(ids, "url_id", "left_semi"), frontier.join(ids, "url_id", "left_anti")
+    oldest = [F.col("created_at"), F.col("url_id")]
+    taken = first_per_group(in_scope(frontier, sites), ["host"], oldest, batch).select(*frontier.columns)
+    return taken, frontier.join(taken.select("url_id"), "url_id", "left_anti")
 
 
 def refill(held: DataFrame, taken: DataFrame, cap: int = BATCH_PER_HOST) -> DataFrame:
