@@ -27,11 +27,16 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 _NOW = {"availableNow": True}
 
 
-def _query(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    _QUERIES[f.__name__] = f
+def _query(f: Callable[[Inputs], DataFrame], name: str | None = None) -> Callable[[Inputs], DataFrame]:
+    _QUERIES[name or f.__name__] = f
     return f
 
 
+def _named(name: str):
+    """For queries called like the operator they import."""
+    return lambda f: _query(f, name)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         return lambda spark, sf_dir: f(Inputs(configure(spark), sf_dir))
@@ -389,7 +394,7 @@ def pace_schedule(i):
     return paced.select("url_id", "host", F.unix_millis("fetch_at").alias("fetch_ms"))
 
 
-@_query
+@_named("crawl_round")
 def crawl_round_tables(i):
     sites_table = i.sites()
     rules_table = robots.parse_robots(i.robots())
@@ -521,7 +526,7 @@ def table_lifecycle(i):
     return spark.read.parquet(path)
 
 
-@_query
+@_named("parse_pages")
 def parse_pages_tables(i):
     rows = i.table("pages").select(
         F.col("page_id").cast("string").alias("id"), F.col("html").alias("content"), (F.col("page_id") % 3).cast("int").alias("depth"), "url"
@@ -545,7 +550,7 @@ def length_check(i):
     return chunks.check_length(i.clean_documents(), "content")[1].select("doc_id", "reason")
 
 
-@_query
+@_named("truncate_tokens")
 def truncated_tokens(i):
     kept = truncate_tokens(token_array(F.col("content")))
     rows = i.clean_documents().withColumn("kept", kept)
@@ -617,7 +622,7 @@ def embed_queries(i):
     return rows.unionByName(rejected.select("doc_id", F.lit(None).cast("double").alias("norm"), "reason"))
 
 
-@_query
+@_named("index_documents")
 def indexed_chunks(i):
     """Spans of all chunks, and which vector positions each one fills."""
     rows = index_documents(i.clean_documents(), t0())
@@ -627,7 +632,7 @@ def indexed_chunks(i):
     return filled.select("doc_id", "chunk_start", "chunk_end", F.size("s").cast("bigint").alias("n_slots"), total.alias("slot_sum"))
 
 
-@_query
+@_named("collect_arrays")
 def collected_arrays(i):
     got = arrays.collect_arrays(i.chunks(), "doc_id", "chunk_id", "chunk_id", "chunk_start")
     return got.select("doc_id", F.array_join("chunk_id", ",").alias("chunk_ids"), F.array_join("chunk_start", ",").alias("starts"))

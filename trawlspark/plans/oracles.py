@@ -306,7 +306,7 @@ def oracle_sql() -> dict[str, str]:
         (PARTITION BY host ORDER BY created_at, url_id))::BIGINT AS fetch_ms FROM frontier JOIN sites USING (host)""",
         "frontier", "sites")
     answered = "r = 'all checks passed' AND length(url) % 4 <> 0"
-    q["crawl_round_tables"] = _sql(f"""SELECT 'judged' AS output, url FROM round
+    q["crawl_round"] = _sql(f"""SELECT 'judged' AS output, url FROM round
         UNION ALL SELECT 'message', url FROM round WHERE {answered} AND url_id % 5 IN (0, 1)
         UNION ALL SELECT 'visit', url FROM round WHERE {answered} AND url_id % 5 <> 4
         UNION ALL SELECT 'error', url FROM round WHERE {answered} AND url_id % 5 = 4
@@ -340,7 +340,7 @@ def oracle_sql() -> dict[str, str]:
     q["table_lifecycle"] = _sql("""SELECT 'frontier' AS name, count(DISTINCT url) AS n_rows FROM links
         UNION ALL SELECT 'documents', count(*) FROM documents WHERE doc_id <> 3
         UNION ALL SELECT 'chunks', count(*) FROM chunk WHERE doc_id <> 3""", "links", "chunk")
-    q["parse_pages_tables"] = _sql(f"""SELECT 'document' AS kind, url, md5(content) AS detail FROM page_docs
+    q["parse_pages"] = _sql(f"""SELECT 'document' AS kind, url, md5(content) AS detail FROM page_docs
         UNION ALL SELECT 'link', url, min(depth)::VARCHAR FROM linked WHERE host IN (SELECT host FROM sites)
             AND url NOT IN (SELECT url FROM frontier) GROUP BY url""", "page_docs", "linked", "sites", "frontier")
 
@@ -348,7 +348,7 @@ def oracle_sql() -> dict[str, str]:
         USING (doc_id) GROUP BY d.doc_id""", "clean_docs", "pieces")
     q["length_check"] = _sql(
         "SELECT doc_id, 'expected 512 tokens, got ' || n || ' tokens' AS reason FROM n_tok WHERE n > 512", "n_tok")
-    q["truncated_tokens"] = _sql("""SELECT d.doc_id, count(s.token) AS n_kept,
+    q["truncate_tokens"] = _sql("""SELECT d.doc_id, count(s.token) AS n_kept,
         md5(coalesce(string_agg(s.token, ' ' ORDER BY s.pos), '')) AS kept_md5
         FROM clean_docs d LEFT JOIN spans0 s ON s.doc_id = d.doc_id AND s.pos <= 510 GROUP BY d.doc_id""", "clean_docs", "spans0")
     q["token_offsets"] = _sql("SELECT doc_id, pos, token, start_at, end_at FROM tokens", "tokens")
@@ -367,10 +367,10 @@ def oracle_sql() -> dict[str, str]:
     q["hash_embed_docs"] = _sql("SELECT doc_id, bucket AS pos, n AS n_tokens FROM buckets", "buckets")
     q["embed_queries"] = f"""SELECT doc_id, CASE WHEN ok THEN 1.0::DOUBLE END AS norm, CASE WHEN ok THEN 'ok' ELSE 'empty text' END
         AS reason FROM (SELECT doc_id, doc_id % 9 <> 4 AND {_first_words(_clean('text'), 5)} <> '' AS ok FROM documents)"""
-    q["indexed_chunks"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, coalesce(n_slots, 1) AS n_slots,
+    q["index_documents"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, coalesce(n_slots, 1) AS n_slots,
         coalesce(slot_sum, ('0x' || substr(md5('[sep]'), 1, 8))::BIGINT % 64) AS slot_sum
         FROM spans s LEFT JOIN slots USING (doc_id, chunk_no)""", "spans", "slots")
-    q["collected_arrays"] = _sql("""SELECT doc_id, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id) AS chunk_ids,
+    q["collect_arrays"] = _sql("""SELECT doc_id, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id) AS chunk_ids,
         coalesce(string_agg(chunk_start::VARCHAR, ',' ORDER BY chunk_id), '') AS starts FROM chunk GROUP BY doc_id""", "chunk")
     q["unnest_zip"] = _sql("SELECT doc_id, chunk_id, chunk_start, chunk_end FROM chunk", "chunk")
 
