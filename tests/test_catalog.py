@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_module
+from trawlspark.plans import catalog, oracles
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_each_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
