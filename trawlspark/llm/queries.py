@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import lines, quality, simhash, tokens
+from . import lines, mixing, quality, simhash, tokens
 from .common import table
 
 SQL = {"op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
