@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import lines, mixing, quality, simhash, tokens
+from . import lines, mixing, quality, simhash, tokens, toxicity
 from .common import table
 
 SQL = {"op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
@@ -29,6 +29,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
