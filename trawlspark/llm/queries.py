@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import lines, mixing, quality, simhash, tokens, toxicity
+from . import decontaminate, lines, mixing, quality, simhash, tokens, toxicity
 from .common import table
 
 SQL = {"op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
@@ -37,6 +37,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         return lambda spark, sf_dir: f(configure(spark), sf_dir)
