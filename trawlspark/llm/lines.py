@@ -27,15 +27,15 @@ def row_key(docs: DataFrame, text: str) -> Column:
     return F.xxhash64(docs["doc_id"].cast("bigint"), docs[text].cast("string"))
 
 
-def line_bitmaps(docs: DataFrame, min_chars: int = 10, hot_rows: int = 50_000, text: str = "text") -> DataFrame:
+def line_bitmaps(docs: DataFrame, min_chars: int = 10, hot_rows: int = 1000, text: str = "text") -> DataFrame:
     """(row_key, n_dropped, keep_runs) of every document that loses lines.
 
     A key of ``min_chars`` or more code points that two documents hold stays only in the one with the smallest id.
     ``keep_runs`` is the document's keep bitmap in run-length form: (first line, number of lines) of each kept run, the
     last with number -1, up to the end. A row per line, without its text, is range-partitioned on a 128-bit hash of the
     key and sorted by hash, document and position; the first row of a key gives the document that keeps it, passed on
-    along the sorted rows. Keys with more than ``hot_rows`` rows do not take that way: a count, combined before its
-    shuffle, gives their first document, and their rows stay where they are.
+    along the sorted rows. Keys with more than ``hot_rows`` rows and a 100,000th of all rows do not take that way: a
+    count, combined before its shuffle, gives their first document, and their rows stay where they are.
     """
     hashed = F.transform(
         line_keys(docs[text]),
@@ -46,7 +46,8 @@ def line_bitmaps(docs: DataFrame, min_chars: int = 10, hot_rows: int = 50_000, t
     lines = stored(exploded.filter("h is not null").select("row_key", "doc", "pos", "h.h1", "h.h2"), "lines")
 
     counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hot_first"))
-    hot = stored(counts.filter(F.col("n") > hot_rows).select("h1", "h2", "hot_first"), "hot-lines")
+    least = max(hot_rows, lines.count() // 100_000)  # so there are 100,000 hot keys at most
+    hot = stored(counts.filter(F.col("n") > least).select("h1", "h2", "hot_first"), "hot-lines")
     known = lines.join(hot, ["h1", "h2"], "left")
     dropped_hot = known.filter("doc > hot_first").select("row_key", "pos")
 
@@ -91,7 +92,7 @@ def kept_text(text: Column, keep_runs: Column) -> Column:
     return F.when(keep_runs.isNull(), F.coalesce(text.cast("string"), F.lit(""))).otherwise(F.array_join(taken, "\n"))
 
 
-def line_digests(docs: DataFrame, min_chars: int = 10, hot_rows: int = 50_000, text: str = "text") -> DataFrame:
+def line_digests(docs: DataFrame, min_chars: int = 10, hot_rows: int = 1000, text: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of every row; see ``line_bitmaps`` and ``drop_repeated_lines``."""
     key = "_row_key_" + "_".join(docs.columns)
     bitmaps = line_bitmaps(docs, min_chars, hot_rows, text).withColumnRenamed("row_key", key)
@@ -104,7 +105,7 @@ def line_digests(docs: DataFrame, min_chars: int = 10, hot_rows: int = 50_000, t
     )
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, hot_rows: int = 50_000, text: str = "text") -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, hot_rows: int = 1000, text: str = "text") -> DataFrame:
     """``docs``, all rows and columns, with ``text`` reduced to the kept lines.
 
     Null and empty texts are one empty line and come out empty. Lines with a short key always stay, and so do repeats
