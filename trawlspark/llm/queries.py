@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, lines, mixing, quality, simhash, tokens, toxicity
+from . import decontaminate, html, licenses, lines, mixing, quality, simhash, tokens, toxicity
 from .common import table
 
-SQL = {"op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
+SQL = {"op10_license_scan": licenses.SQL, "op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("path", licenses.fixture_path())
+    return licenses.scan_licenses(docs).drop("lines")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         return lambda spark, sf_dir: f(configure(spark), sf_dir)
