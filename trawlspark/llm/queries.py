@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, html, licenses, lines, mixing, quality, simhash, tokens, toxicity
+from . import decontaminate, html, licenses, lines, mixing, passages, quality, simhash, tokens, toxicity
 from .common import table
 
 SQL = {"op10_license_scan": licenses.SQL, "op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
@@ -17,6 +17,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
