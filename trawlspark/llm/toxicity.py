@@ -199,8 +199,8 @@ def fit(
     return Model(idf, index, prior, k, prior_weight)
 
 
-def _scored(docs: DataFrame, model: Model, name: str, text: str, evidence: str | None = None) -> DataFrame:
-    """All columns of ``docs``, the score, and on request the ids of the voting examples."""
+def _scored(docs: DataFrame, model: Model, name: str, text: str, evidence: str) -> DataFrame:
+    """All columns of ``docs``, the score, and the ids of the voting examples."""
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
 
@@ -209,14 +209,11 @@ def _scored(docs: DataFrame, model: Model, name: str, text: str, evidence: str |
         for whole in batches:
             for part in slices(whole, whole.schema.names[at]):
                 found = [m.score(t) for t in part.column(at).to_pylist()]
-                columns, names = [*part.columns, pa.array([s for s, _ in found], pa.float64())], [*part.schema.names, name]
-                if evidence:
-                    columns.append(pa.array([e for _, e in found], pa.list_(pa.int64())))
-                    names.append(evidence)
-                yield pa.RecordBatch.from_arrays(columns, names)
+                votes = pa.array([e for _, e in found], pa.list_(pa.int64()))
+                columns = [*part.columns, pa.array([s for s, _ in found], pa.float64()), votes]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name, evidence])
 
-    schema = StructType([*docs.schema.fields]).add(name, DoubleType())
-    return docs.mapInArrow(add, schema.add(evidence, ArrayType(LongType())) if evidence else schema)
+    return docs.mapInArrow(add, StructType([*docs.schema.fields]).add(name, DoubleType()).add(evidence, ArrayType(LongType())))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -239,8 +236,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", **op
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``threshold``; see ``score_documents`` for odd rows."""
+    """The rows of ``docs``, all columns, that score below ``threshold`` or have no evidence against them.
+
+    See ``score_documents`` for odd rows; a text that no example votes on stays, however many labels are 1.
+    """
     model = fit(docs, labels, text=text, **options)
     name = "_score_" + "_".join(docs.columns)
     typed = docs.withColumn(text, F.col(text).cast("string"))
-    return _scored(typed, model, name, text).filter(F.col(name) < threshold).drop(name)
+    scored = _scored(typed, model, name, text, name + "_by")
+    return scored.filter((F.col(name) < threshold) | (F.size(name + "_by") == 0)).drop(name, name + "_by")
