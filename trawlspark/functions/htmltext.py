@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from html import unescape
 
-_ATTR = r"""((?:[^\s/>=]|(?<=[\s/])=)[^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]*+)))?+"""
+_ATTR = r"""((?:[^\s/>=]|(?<=[\s/"'])=)[^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]*+)))?+"""
 _ANY_ATTR = re.sub(r"\((?!\?)", "(?:", _ATTR)
 _MARKUP = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
@@ -15,6 +15,9 @@ _MARKUP = re.compile(
     re.S,
 )
 _ATTRS = re.compile(_ATTR)
+# Tags the pattern above cannot read still end somewhere: at the first ">" outside quotes, or else at the first one.
+_LENIENT = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>""")
+_CLOSED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _RAW = {"script", "style", "xmp", "iframe", "noembed", "noframes", "noscript"}
 _ESCAPABLE = {"title", "textarea"}
 _HEAD = {"html", "head", "title", "meta", "link", "base", "script", "style", "noscript", "noframes", "template"}
@@ -65,8 +68,11 @@ def page_parts(html: str) -> tuple[str, str, list[str]]:
         if mark.start() > at:
             add_text(html[at:mark.start()])
         at = mark.end()
-        if mark.group(4):  # a tag cut off by the end of the input
-            break
+        if mark.group(4):
+            mark = _LENIENT.match(html, mark.start()) or _CLOSED.match(html, mark.start())
+            if mark is None:  # a tag cut off by the end of the input
+                break
+            at = mark.end()
         name = (mark.group(2) or "").lower()
         if not name:  # comment, doctype
             if in_body and not after_body:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .weburl import absolute_url
+
 HOST_PATTERN = (
     r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
     r"(\[[0-9A-Fa-f:.]+\]|[^/?#:\s\[\]]+)(?::[0-9]*)?(?:[/?#]|$)"
@@ -44,6 +47,19 @@ def valid_urls(df: DataFrame, url: str = "url") -> DataFrame:
     return df.filter(is_valid_url(url))
 
 
+@F.pandas_udf("string")
+def _normal(urls: pd.Series) -> pd.Series:
+    return urls.map(lambda u: None if u is None else absolute_url(u))
+
+
+def normal_url(url) -> Column:
+    """The one spelling of a URL that links are resolved to (ASCII host in lower case, no default port, a path).
+
+    Null for what is no URL. Needed once, where a URL enters: site lists, answers and visits.
+    """
+    return _normal(_col(url))
+
+
 def robots_url(url) -> Column:
     """Address of the rules file of a site: scheme, host, /robots.txt. Null for other schemes."""
     host = url_host(url)

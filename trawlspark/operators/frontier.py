@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.urls import url_host, url_path
+from ..functions.urls import url_host, url_path, valid_urls
 from .ranking import first_per_group, row_number_within
 from .robots import DEFAULT_AGENT, host_rules, path_allowed
 
@@ -54,10 +54,10 @@ def enqueue_links(frontier: DataFrame, links: DataFrame, as_of: Column) -> DataF
 
 
 def dequeue(frontier: DataFrame, sites: DataFrame, batch: int = BATCH_PER_HOST) -> tuple[DataFrame, DataFrame]:
-    """(taken, rest): the oldest rows of each configured host leave the frontier."""
+    """(taken, rest): the oldest rows of each configured host leave the frontier; what is no URL is not handed on."""
     oldest = [F.col("created_at"), F.col("url_id")]
     taken = first_per_group(in_scope(frontier, sites), ["host"], oldest, batch).select(*frontier.columns)
-    return taken, frontier.join(taken.select("url_id"), "url_id", "left_anti")
+    return valid_urls(taken), frontier.join(taken.select("url_id"), "url_id", "left_anti")
 
 
 def refill(held: DataFrame, taken: DataFrame, cap: int = BATCH_PER_HOST) -> DataFrame:
@@ -164,8 +164,15 @@ def gate_content_type(responses: DataFrame, content_type: str = "content_type")
 
 
 def lookup_payloads(ids: DataFrame, payloads: DataFrame, ttl: str = PAYLOAD_TTL) -> tuple[DataFrame, DataFrame]:
-    """(found, missing): id messages (id, get_ts) against cached pages (id, put_ts, …) that live for ``ttl``."""
-    joined = ids.join(payloads, "id", "left")
-    alive = F.coalesce(F.col("get_ts") < F.col("put_ts") + _ttl(ttl), F.lit(False))
-    missing = joined.filter(~alive).select(*ids.columns, F.lit("document not found").alias("reason"))
-    return joined.filter(alive), missing
+    """(found, missing): id messages (id, get_ts) against cached pages (id, put_ts, …) that live for ``ttl``.
+
+    A page is there from the time it is put; an id read earlier finds nothing.
+    """
+    pages = payloads.withColumnRenamed("id", "_page_id")
+    alive = (
+        (F.col("id") == F.col("_page_id"))
+        & (F.col("get_ts") >= F.col("put_ts"))
+        & (F.col("get_ts") < F.col("put_ts") + _ttl(ttl))
+    )
+    missing = ids.join(pages, alive, "left_anti").withColumn("reason", F.lit("document not found"))
+    return ids.join(pages, alive).drop("_page_id"), missing

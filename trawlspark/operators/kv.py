@@ -29,7 +29,7 @@ def kv_del(keys: DataFrame, as_of: Column) -> DataFrame:
 def kv_latest(log: DataFrame, as_of: Column) -> DataFrame:
     """Live entries at ``as_of`` of a log (key, op, seq, ts, ttl_s, …)."""
     current = last_per_key(log.filter(F.col("ts") <= as_of), "key", ["ts", "seq"])
-    alive = F.col("ttl_s").isNull() | (F.timestamp_seconds(F.unix_seconds("ts") + F.col("ttl_s")) > as_of)
+    alive = F.col("ttl_s").isNull() | (F.timestamp_micros(F.unix_micros("ts") + F.col("ttl_s").cast("bigint") * 1_000_000) > as_of)
     return current.filter((F.col("op") != "del") & alive)
 
 

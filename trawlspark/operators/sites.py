@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import robots_url, url_host
+from ..functions.urls import normal_url, robots_url, url_host
 from ..schemas import SITE_CONFIG
 from .arrays import last_per_key
 
@@ -20,14 +20,18 @@ def request_interval(rps: Column) -> Column:
 
 
 def site_entries(configs: DataFrame, json: str = "config", order: str | None = None) -> DataFrame:
-    """All entries of JSON site lists in file order, repeated hosts included. A text without "sites" is an error."""
+    """All entries of JSON site lists in file order, repeated hosts included. A text without "sites" is an error.
+
+    URLs are normalised here, so a configured site has the host and the spelling that resolved links have.
+    """
     sites = F.from_json(F.col(json), SITE_CONFIG).getField("sites")
-    missing = F.raise_error(F.lit('no field "sites" found in config')).cast(SITE_CONFIG["sites"].dataType)
+    missing = F.raise_error(F.lit('a site list has no entry "sites"')).cast(SITE_CONFIG["sites"].dataType)
     file_no = F.col(order) if order else F.lit(0)
     return (
         configs.select(file_no.alias("file_no"), F.coalesce(sites, missing).alias("_sites"))
         .select("file_no", F.posexplode("_sites").alias("pos", "_site"))
         .select("file_no", "pos", "_site.*")
+        .withColumn("url", F.coalesce(normal_url("url"), F.col("url")))
         .withColumn("host", url_host("url"))
     )
 
@@ -40,8 +44,9 @@ def parse_sites(configs: DataFrame, json: str = "config", order: str | None = No
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
-    """Site table of the JSON files under ``path``."""
-    return parse_sites(spark.read.text(path, wholetext=True).withColumnRenamed("value", "config"))
+    """Site table of the JSON files under ``path``; of files that name one host the last by path wins."""
+    files = spark.read.text(path, wholetext=True).select(F.col("value").alias("config"), F.col("_metadata.file_path").alias("file"))
+    return parse_sites(files, order="file")
 
 
 def seed_frontier(entries: DataFrame) -> DataFrame:

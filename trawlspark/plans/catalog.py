@@ -12,13 +12,13 @@ from ..functions import urls, vectors
 from ..functions.ids import new_id
 from ..functions.tokens import token_array, token_count, truncate_tokens
 from ..operators import arrays, chunks, documents, embed, frontier, kv, pages, robots, search, sites, snippets
-from ..session import configure, fresh_dir, spread
+from ..session import configure, fresh_dir
 from ..sources import messages
 from ..sources.tables import create_tables, drop_tables
 from ..streaming import rules
 from ..streaming.stages import StageTables, start_crawl, start_embed, start_parse
 from .crawl import crawl_round
-from .fixtures import Inputs, as_of, t0
+from .fixtures import Inputs, as_of, dealt, t0
 from .index import index_documents
 from .parse import parse_pages
 from .search import search_vectors
@@ -110,7 +110,7 @@ def result_cards(i):
 
 
 def _asked(i: Inputs) -> DataFrame:
-    docs = spread(i.documents(), "doc_id").withColumn("query", F.substring_index("content", " ", 5))
+    docs = dealt(i.documents(), "doc_id").withColumn("query", F.substring_index("content", " ", 5))
     return docs.withColumn("asked", tx.query_text(F.col("query"), F.col("title")))
 
 
@@ -210,6 +210,21 @@ def valid_urls(i):
     return urls.valid_urls(rows).select("page_id", "url", urls.url_host("url").alias("host"))
 
 
+@_query
+def normal_urls(i):
+    """URLs in other spellings: a host of other letters, upper case, the default port, no path."""
+    k = F.col("page_id") % 4
+    host = urls.url_host("url")
+    sent = (
+        F.when(k == 0, F.concat(F.lit("https://Müller."), host, F.lit("/ä")))
+        .when(k == 1, F.concat(F.lit("HTTP://"), F.upper(host), F.lit(":80")))
+        .when(k == 2, F.concat(F.lit(" https://"), host, F.lit(":0443/a/../b#x ")))
+        .otherwise(host)
+    )
+    rows = i.table("pages").select("page_id", urls.normal_url(sent).alias("url"))
+    return rows.select("page_id", "url", urls.url_host("url").alias("host"))
+
+
 @_query
 def page_titles(i):
     return i.parsed_pages().select("page_id", "title")
@@ -221,6 +236,15 @@ def page_text(i):
     return pages.page_content(ok).select("page_id", "content")
 
 
+@_query
+def page_text_malformed(i):
+    """Pages in which paragraphs have attributes that no HTML writer should produce."""
+    k = F.col("page_id") % 3
+    tag = F.when(k == 0, '<p a="1"=2>').when(k == 1, "<p x='1'y=\"2\" =>").otherwise("<p =a b=\"c>\"d='e'/f>")
+    rows = i.spread("pages", "page_id").withColumn("html", F.replace("html", F.lit("<p>"), tag))
+    return pages.page_content(pages.extract_pages(rows)).select("page_id", "content")
+
+
 @_query
 def page_links(i):
     return i.parsed_pages().select("page_id", F.posexplode("hrefs").alias("pos", "href")).select("page_id", _long("pos"), "href")
@@ -567,7 +591,8 @@ def token_offsets(i):
 def chunk_windows(i):
     rows = chunks.chunk_windows(chunks.tokenize(i.clean_documents(), "content").drop("content"))
     return rows.select(
-        "doc_id", _long("chunk_no"), _long("tok_start"), _long("tok_end"), _long("input_end"), "chunk_start", "chunk_end"
+        "doc_id", _long("chunk_no"), _long("tok_start"), _long("tok_end"), _long("input_end"), "chunk_start", "chunk_end",
+        F.md5(F.array_join("input_tokens", " ")).alias("input_md5"),
     )
 
 
@@ -624,12 +649,15 @@ def embed_queries(i):
 
 @_named("index_documents")
 def indexed_chunks(i):
-    """Spans of all chunks, and which vector positions each one fills."""
+    """Spans of all chunks, which vector positions each one fills, and the weights there."""
     rows = index_documents(i.clean_documents(), t0())
     slots = F.filter(F.transform("embedding", lambda x, k: F.when(x != 0, k)), lambda k: k.isNotNull())
-    filled = rows.select(_long("doc_id"), "chunk_start", "chunk_end", F.explode(F.array(slots)).alias("s"))
+    weighed = F.aggregate(
+        F.transform("embedding", lambda x, k: x.cast("double") * (k + 1)), F.lit(0.0), lambda a, x: a + x
+    )
+    filled = rows.select(_long("doc_id"), "chunk_start", "chunk_end", F.explode(F.array(slots)).alias("s"), _r6(weighed, "weight"))
     total = F.aggregate("s", F.lit(0), lambda a, k: a + k).cast("bigint")
-    return filled.select("doc_id", "chunk_start", "chunk_end", F.size("s").cast("bigint").alias("n_slots"), total.alias("slot_sum"))
+    return filled.select("doc_id", "chunk_start", "chunk_end", F.size("s").cast("bigint").alias("n_slots"), total.alias("slot_sum"), "weight")
 
 
 @_named("collect_arrays")
@@ -680,7 +708,7 @@ def stream_first_visit(i):
 @_query
 def stream_payload_join(i):
     e = _event_stream(i)
-    ids = e.select(F.col("event_id").alias("id"), F.expr("ts + make_dt_interval(0, 0, int(event_id % 20))").alias("get_ts"))
+    ids = e.select(F.col("event_id").alias("id"), F.expr("ts + make_dt_interval(0, 0, int(event_id % 20 - 3))").alias("get_ts"))
     put = e.select(F.col("event_id").alias("id"), F.col("ts").alias("put_ts"), "value")
     return _drained(i, rules.payload_stream(ids, put), "payload").select("id", _r6("value", "value"))
 

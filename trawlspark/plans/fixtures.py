@@ -9,7 +9,6 @@ from ..functions.text import clean_text
 from ..functions.urls import url_host
 from ..operators.pages import extract_pages, link_rows
 from ..operators.robots import DEFAULT_AGENT
-from ..session import spread
 
 T0 = "timestamp'2024-01-01 00:00:00'"
 
@@ -22,6 +21,11 @@ def as_of():
     return F.expr(f"{T0} + INTERVAL 8 DAYS")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by ``key`` to as many tasks as the input has splits or the session has cores, at any size."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()), key)
+
+
 class Inputs:
     """The tables of one folder and what is derived from them."""
 
@@ -36,7 +40,8 @@ class Inputs:
         return self._read[name]
 
     def spread(self, name: str, key: str) -> DataFrame:
-        return spread(self.table(name), key)
+        """The table dealt over the cores by ``key``: the test files are one row group each, and so one task."""
+        return dealt(self.table(name), key)
 
     def stream(self, name: str, **options: str) -> DataFrame:
         schema = self.table(name).schema
@@ -149,7 +154,7 @@ class Inputs:
     def payloads(self) -> tuple[DataFrame, DataFrame]:
         """(ids, payloads) of the cache lookups."""
         e = self.events()
-        get_ts = F.expr("ts + make_dt_interval(0, 0, int(event_id % 20))")
+        get_ts = F.expr("ts + make_dt_interval(0, 0, int(event_id % 20 - 3))")
         return (
             e.select(F.col("event_id").alias("id"), get_ts.alias("get_ts")),
             e.select(F.col("event_id").alias("id"), F.col("ts").alias("put_ts"), "value"),
@@ -160,7 +165,7 @@ class Inputs:
             F.col("user_id").alias("key"),
             F.when(F.col("event_type") == "error", "del").otherwise("set").alias("op"),
             F.col("event_id").alias("seq"),
-            "ts",
+            F.expr("ts + make_dt_interval(0, 0, 0, (event_id % 10) / 10)").alias("ts"),
             F.when(F.col("event_type") == "view", 604800).alias("ttl_s"),
             F.col("value"),
         )

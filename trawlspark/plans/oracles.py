@@ -123,12 +123,17 @@ _CTE = {
         WHERE content <> '' GROUP BY d.doc_id""",
     "tokens": """SELECT doc_id, pos, token, end_at - length(token) AS start_at, end_at FROM spans0
         UNION ALL SELECT doc_id, 0, '[CLS]', 0, 0 FROM clean_docs
-        UNION ALL SELECT d.doc_id, (SELECT count(*) FROM pieces p WHERE p.doc_id = d.doc_id) + 1, '[SEP]', 0, 0 FROM clean_docs d""",
+        UNION ALL SELECT doc_id, coalesce(n, 0) + 1, '[SEP]', 0, 0 FROM clean_docs
+            LEFT JOIN (SELECT doc_id, count(*) AS n FROM pieces GROUP BY doc_id) USING (doc_id)""",
     "windows": """SELECT doc_id, n, k AS chunk_no, 460 * k AS tok_start, least(460 * (k + 1), n) AS tok_end
         FROM (SELECT doc_id, n, unnest(range(0, (n + 459) // 460)) AS k FROM n_tok)""",
-    "spans": """SELECT w.*, s.start_at AS chunk_start, e.end_at AS chunk_end FROM windows w
-        JOIN tokens s ON s.doc_id = w.doc_id AND s.pos = w.tok_start
-        JOIN tokens e ON e.doc_id = w.doc_id AND e.pos = w.tok_end - 2""",
+    "doc_toks": """SELECT doc_id, list(token ORDER BY pos) AS toks, list(end_at - length(token) ORDER BY pos) AS starts,
+        list(end_at ORDER BY pos) AS ends FROM spans0 GROUP BY doc_id""",
+    "spans": """SELECT w.*, coalesce(list_concat([0], starts, [0]), [0, 0])[tok_start + 1] AS chunk_start,
+        coalesce(list_concat([0], ends, [0]), [0, 0])[tok_end - 1] AS chunk_end,
+        list_concat(['[CLS]'], coalesce(toks, []), ['[SEP]'])[tok_start + 1:input_end] AS input
+        FROM (SELECT *, CASE WHEN tok_end + 52 < n THEN tok_end + 52 ELSE tok_end END AS input_end FROM windows) w
+        LEFT JOIN doc_toks USING (doc_id)""",
     "asked": f"""SELECT doc_id, content, {_first_words('content', 5)} || ' ' || title AS asked FROM docs""",
     "word": rf"""SELECT doc_id, asked, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM (SELECT doc_id, lower(asked) AS asked,
         regexp_extract_all({_snip('content')}, '[^ \t\n\v\f\r]+') AS ws FROM asked)""",
@@ -142,10 +147,10 @@ _CTE = {
         LEFT JOIN (SELECT g.doc_id, arg_max(g.i, (g.gap, g.i)) AS e FROM gaps g
             JOIN (SELECT doc_id, min(i) AS s FROM gaps GROUP BY doc_id) f ON f.doc_id = g.doc_id AND g.i > f.s + 100
             GROUP BY g.doc_id) l USING (doc_id)""",
-    "kv": f"""SELECT user_id AS key, CASE WHEN event_type = 'error' THEN 'del' ELSE 'set' END AS op, event_id AS seq, ts,
-        CASE WHEN event_type = 'view' THEN 604800 END AS ttl_s, value FROM events WHERE ts <= {_AS_OF}""",
+    "kv": f"""SELECT user_id AS key, CASE WHEN event_type = 'error' THEN 'del' ELSE 'set' END AS op, event_id AS seq,
+        ts + to_milliseconds(event_id % 10 * 100) AS ts, CASE WHEN event_type = 'view' THEN 604800 END AS ttl_s, value FROM events WHERE ts + to_milliseconds(event_id % 10 * 100) <= {_AS_OF}""",
     "kv_live": f"""SELECT * FROM (SELECT * FROM kv QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, seq DESC) = 1)
-        WHERE op <> 'del' AND (ttl_s IS NULL OR date_trunc('second', ts) + to_seconds(ttl_s) > {_AS_OF})""",
+        WHERE op <> 'del' AND (ttl_s IS NULL OR ts + to_seconds(ttl_s) > {_AS_OF})""",
     "old_docs": f"""SELECT doc_id, 'http://d/' || doc_id AS url, {_first_words('text', 3)} AS title, text AS content
         FROM documents WHERE doc_id % 3 <> 0""",
     "new_docs": f"""SELECT doc_id + 1000000000 AS doc_id, 'http://d/' || doc_id AS url, 'new ' || {_first_words('text', 3)} AS title,
@@ -160,10 +165,11 @@ _CTE = {
     "round": """SELECT *, CASE WHEN reason = 'all checks passed' AND slot * interval_s > 1.0 THEN 'late' ELSE reason END AS r FROM round0""",
     "buckets": """SELECT doc_id, ('0x' || substr(md5(lower(token)), 1, 8))::BIGINT % 64 AS bucket, count(*) AS n
         FROM spans0 GROUP BY 1, 2""",
-    "inputs": """SELECT w.doc_id, w.chunk_no, t.token FROM windows w JOIN spans0 t ON t.doc_id = w.doc_id AND t.pos >= w.tok_start
-        AND t.pos < CASE WHEN w.tok_end + 52 < w.n THEN w.tok_end + 52 ELSE w.tok_end END""",
-    "slots": """SELECT doc_id, chunk_no, count(DISTINCT b) AS n_slots, sum(DISTINCT b)::BIGINT AS slot_sum FROM (SELECT doc_id,
-        chunk_no, ('0x' || substr(md5(lower(token)), 1, 8))::BIGINT % 64 AS b FROM inputs) GROUP BY ALL""",
+    "inputs": """SELECT doc_id, chunk_no, unnest(list_filter(input, lambda t: t NOT IN ('[CLS]', '[SEP]'))) AS token FROM spans""",
+    "slots": """SELECT doc_id, chunk_no, count(*) AS n_slots, sum(b)::BIGINT AS slot_sum,
+        sum((b + 1) * (c::DOUBLE / total)::FLOAT::DOUBLE) AS weight FROM (SELECT *, sum(c) OVER (PARTITION BY doc_id, chunk_no) AS total
+            FROM (SELECT doc_id, chunk_no, ('0x' || substr(md5(lower(token)), 1, 8))::BIGINT % 64 AS b, count(*) AS c
+            FROM inputs GROUP BY ALL)) GROUP BY ALL""",
 }
 
 _NEEDS = {
@@ -173,9 +179,9 @@ _NEEDS = {
     "judged0": ["frontier", "sites", "permitted", "visited"], "judged": ["judged0"], "taken": ["frontier", "sites"],
     "links": ["hrefs"], "linked": ["links"], "page_nodes": ["bare"], "page_docs": ["page_nodes"], "pieces": ["clean_docs"],
     "spans0": ["pieces"], "n_tok": ["clean_docs", "pieces"], "tokens": ["spans0", "pieces", "clean_docs"],
-    "windows": ["n_tok"], "spans": ["windows", "tokens"], "asked": ["docs"], "word": ["asked"], "keys": ["word"],
+    "windows": ["n_tok"], "doc_toks": ["spans0"], "spans": ["windows", "doc_toks"], "asked": ["docs"], "word": ["asked"], "keys": ["word"],
     "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "taken100": ["judged_fresh"], "judged_fresh": ["frontier", "sites", "permitted"], "round": ["round0"],
-    "buckets": ["spans0"], "inputs": ["windows", "spans0"], "slots": ["inputs"],
+    "buckets": ["spans0"], "inputs": ["spans"], "slots": ["inputs"],
 }
 
 
@@ -250,6 +256,10 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN page_id % 7 <> 3 THEN {_host('url')} END AS host FROM pages WHERE page_id % 7 NOT IN (1, 2)"""
     q["page_titles"] = _sql("SELECT page_id, title FROM page_docs", "page_docs")
     q["page_text"] = _sql("SELECT page_id, content FROM page_docs", "page_docs")
+    q["page_text_malformed"] = q["page_text"]
+    q["normal_urls"] = f"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://' || h || '/%C3%A4' WHEN 1 THEN 'http://' || h || '/'
+        WHEN 2 THEN 'https://' || h || '/b#x' END AS url, CASE WHEN page_id % 4 <> 3 THEN h END AS host
+        FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'xn--mller-kva.' ELSE '' END || {_host('url')} AS h FROM pages)"""
     q["page_links"] = _sql("SELECT page_id, pos, href FROM hrefs", "hrefs")
     q["resolved_links"] = _sql("SELECT page_id, pos, url FROM links", "links")
     q["empty_body_rejects"] = _sql(
@@ -261,7 +271,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT page_id, pos, url, host, depth FROM linked WHERE host IN (SELECT host FROM sites)", "linked", "sites")
     q["links_out_of_scope"] = _sql(
         "SELECT page_id, pos, url, host, depth FROM linked WHERE host NOT IN (SELECT host FROM sites)", "linked", "sites")
-    new_id = "lpad(to_hex(epoch_ms({ts})), 12, '0') || upper(substr(sha256({key}), 1, 14))"
+    new_id = (
+        "to_base(epoch_ms({ts}), 32, 10) || to_base(('0x' || substr(sha256({key}), 1, 10))::BIGINT, 32, 8)"
+        " || to_base(('0x' || substr(sha256({key}), 11, 10))::BIGINT, 32, 8)"
+    )
     q["message_roundtrip"] = f"""SELECT {new_id.format(ts=_T0, key='url')} AS id, url, page_id % 4 AS depth,
         md5(html) AS content_md5 FROM pages"""
     q["row_ids"] = _sql(f"SELECT url_id, {new_id.format(ts='created_at', key='url')} AS id FROM frontier", "frontier")
@@ -317,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
     keys = "(SELECT DISTINCT user_id * 2 AS key FROM events)"
     q["kv_get"] = _sql(f"SELECT key, seq, round(value, 6) AS value FROM {keys} LEFT JOIN kv_live USING (key)", "kv_live")
     q["kv_exists"] = _sql(f"SELECT key FROM {keys} WHERE key IN (SELECT key FROM kv_live)", "kv_live")
-    q["payload_lookup"] = "SELECT event_id AS id, event_id % 20 < 10 AS found FROM events"
+    q["payload_lookup"] = "SELECT event_id AS id, event_id % 20 BETWEEN 3 AND 12 AS found FROM events"
     q["document_lookup"] = """SELECT a.doc_id * 2 AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'no document found'
         WHEN d.doc_id % 10 = 7 THEN 'document without content' ELSE 'found' END AS outcome
         FROM documents a LEFT JOIN documents d ON d.doc_id = a.doc_id * 2"""
@@ -352,8 +365,8 @@ def oracle_sql() -> dict[str, str]:
         md5(coalesce(string_agg(s.token, ' ' ORDER BY s.pos), '')) AS kept_md5
         FROM clean_docs d LEFT JOIN spans0 s ON s.doc_id = d.doc_id AND s.pos <= 510 GROUP BY d.doc_id""", "clean_docs", "spans0")
     q["token_offsets"] = _sql("SELECT doc_id, pos, token, start_at, end_at FROM tokens", "tokens")
-    q["chunk_windows"] = _sql("""SELECT doc_id, chunk_no, tok_start, tok_end, CASE WHEN tok_end + 52 < n THEN tok_end + 52
-        ELSE tok_end END AS input_end, chunk_start, chunk_end FROM spans""", "spans")
+    q["chunk_windows"] = _sql("""SELECT doc_id, chunk_no, tok_start, tok_end, input_end, chunk_start, chunk_end,
+        md5(array_to_string(input, ' ')) AS input_md5 FROM spans""", "spans")
     q["chunk_spans"] = _sql("SELECT doc_id, chunk_no, chunk_start, chunk_end FROM spans", "spans")
     norm = "sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))"
     q["l2_norm"] = f"SELECT vec_id, round({norm}, 6) AS norm FROM embeddings"
@@ -368,7 +381,8 @@ def oracle_sql() -> dict[str, str]:
     q["embed_queries"] = f"""SELECT doc_id, CASE WHEN ok THEN 1.0::DOUBLE END AS norm, CASE WHEN ok THEN 'ok' ELSE 'empty text' END
         AS reason FROM (SELECT doc_id, doc_id % 9 <> 4 AND {_first_words(_clean('text'), 5)} <> '' AS ok FROM documents)"""
     q["index_documents"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, coalesce(n_slots, 1) AS n_slots,
-        coalesce(slot_sum, ('0x' || substr(md5('[sep]'), 1, 8))::BIGINT % 64) AS slot_sum
+        coalesce(slot_sum, ('0x' || substr(md5('[sep]'), 1, 8))::BIGINT % 64) AS slot_sum,
+        round(coalesce(weight, ('0x' || substr(md5('[sep]'), 1, 8))::BIGINT % 64 + 1), 6) AS weight
         FROM spans s LEFT JOIN slots USING (doc_id, chunk_no)""", "spans", "slots")
     q["collect_arrays"] = _sql("""SELECT doc_id, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id) AS chunk_ids,
         coalesce(string_agg(chunk_start::VARCHAR, ',' ORDER BY chunk_id), '') AS starts FROM chunk GROUP BY doc_id""", "chunk")
@@ -384,7 +398,7 @@ def oracle_sql() -> dict[str, str]:
     q["stream_first_visit"] = chain.format(op=">=", span="7 DAYS") + "SELECT event_id AS seq FROM kept"
     q["stream_rate_limit"] = chain.format(op=">", span="1 DAY") + """SELECT event_id AS seq,
         event_id IN (SELECT event_id FROM kept) AS accepted FROM events"""
-    q["stream_payload_join"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 < 10"
+    q["stream_payload_join"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 BETWEEN 3 AND 12"
     q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken100 WHERE ok AND url_id % 5 IN (0, 1)
         UNION ALL SELECT 'visit', url FROM taken100 WHERE ok AND url_id % 5 <> 4
         UNION ALL SELECT 'frontier', url FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken100)""", "taken100")

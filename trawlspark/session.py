@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Pages and vectors are wide: keep an Arrow batch far below a Python worker's memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # Id lists of a result page are pushed to Parquet as equality filters, not as one wide range.
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
@@ -47,12 +49,12 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **extra: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; a cluster without the setting is an error,
-    because a machine-local folder would be lost with its machine.
+    Only a session in one JVM may fall back to a temporary folder; a cluster without the setting is an error, also
+    one on this machine, because a machine-local folder would be lost with its machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="trawlspark-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -71,18 +73,3 @@ def durable(df):
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
-
-# A scan of at most this many splits counts as small.
-_SMALL_SPLITS = 256
-
-
-def spread(df, key: str):
-    """Work of heavy per-row steps for all cores, where the input is a small file.
-
-    A small file is often one row group and so one task, however many cores there are. Inputs of many splits are
-    returned as they are: at that size a scan feeds all cores and a shuffle of whole texts would only cost.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= min(4 * cores, _SMALL_SPLITS):
-        return df
-    return df.repartition(cores, key)
