@@ -26,13 +26,22 @@ def sites(spark, *rows):
 
 
 def test_dequeue_takes_the_oldest_of_each_configured_host(spark, rows):
-    q = queue(spark, (1, "a1", "a", 0, 5), (2, "a2", "a", 0, 1), (3, "a3", "a", 0, 1), (4, "b", "b", 0, 0), (5, "c", "c", 0, 0))
+    q = queue(
+        spark, (1, "http://a/1", "a", 0, 5), (2, "http://a/2", "a", 0, 1), (3, "http://a/3", "a", 0, 1), (4, "http://b/", "b", 0, 0),
+        (5, "http://c/", "c", 0, 0),
+    )
     taken, rest = fr.dequeue(q, sites(spark, ("a", 2, 1.0), ("c", 2, 1.0)), 2)
     assert [r[0] for r in rows(taken, "url_id")] == [2, 3, 5]
     assert [r[0] for r in rows(rest, "url_id")] == [1, 4]
     assert fr.requeue(rest, taken).count() == 5
 
 
+def test_dequeue_hands_on_no_invalid_url(spark, rows):
+    q = queue(spark, (1, "no url", "a", 0, 0), (2, "http://a/2", "a", 0, 1))
+    taken, rest = fr.dequeue(q, sites(spark, ("a", 2, 1.0)), 2)
+    assert rows(taken, "url_id") == [(2,)] and rest.count() == 0
+
+
 def test_refill_stops_at_the_cap(spark):
     held = queue(spark, *[(i, f"u{i}", "a", 0, 0) for i in range(3)])
     assert fr.refill(held, held, cap=3).count() == 3

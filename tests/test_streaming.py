@@ -8,7 +8,7 @@ from trawlspark.operators.embed import EmbedConfig
 from trawlspark.session import fresh_dir
 from trawlspark.sources.queues import read_ids, write_ids
 from trawlspark.streaming import rules
-from trawlspark.streaming.stages import StageTables, embed_batch, parse_batch, start_crawl, start_embed, start_parse
+from trawlspark.streaming.stages import StageTables, crawl_batch, embed_batch, parse_batch, start_crawl, start_embed, start_parse
 
 ONCE = {"availableNow": True}
 T0 = dt.datetime(2024, 1, 1)
@@ -154,3 +154,62 @@ def test_crawl_rounds_feed_the_parser(spark, rows, tmp_path):
     assert rows(tables.frontier(), "url") == [("http://h.org/4",)]
     start_parse(tables.messages(), tables, sites, str(tmp_path / "c2"), now(), ONCE).awaitTermination()
     assert rows(tables.documents(), "url") == [("http://h.org/0",), ("http://h.org/2",)]
+
+
+def test_answers_of_any_trigger_count(spark, rows, tmp_path):
+    """Early answers wait for their round, late ones find their link, and nothing is lost."""
+    tables = StageTables(spark, str(tmp_path / "t"))
+    minute = dt.timedelta(minutes=1)
+    queue = [(f"http://h.org/{i}", "h.org", 0, T0 + i * minute, T0) for i in range(6)]
+    tables.write("frontier", 0, spark.createDataFrame(queue, "url string, host string, depth int, created_at timestamp, updated_at timestamp"))
+    html = ("text/html", page("x"))
+    responses = feed(
+        spark, str(tmp_path / "r"), "url string, status int, content_type string, body string",
+        [("http://h.org/5", 200, *html), ("http://H.org:80/4", 200, *html), ("http://x.org/", 200, *html)],
+        [("http://h.org/0", 200, *html), ("http://h.org/1", 200, "bad", "")],
+        [("http://h.org/2", 200, "image/png", ""), ("http://h.org/2", 200, "image/png", "again")],
+    )
+    sites = spark.createDataFrame([("h.org", 3, 1.0)], "host string, depth int, interval_s double")
+    rules_table = spark.createDataFrame([], "host string, agent string, kind string, prefix string, section int, pos int")
+    start_crawl(responses, tables, sites, rules_table, str(tmp_path / "c"), now(), ONCE, per_host=2).awaitTermination()
+    assert rows(tables.read("visits"), "url") == [(f"http://h.org/{i}",) for i in (0, 2, 4, 5)]
+    assert rows(tables.read("crawl_rejects"), "url", "reason") == [
+        ("http://h.org/1", "unreadable content type"), ("http://h.org/2", "answered before"), ("http://x.org/", "not asked for"),
+    ]
+    assert rows(tables.waiting(9), "url") == [("http://h.org/3",)] and tables.held(9).count() == 0 and tables.frontier().count() == 0
+    # A week later the link without an answer is given up.
+    crawl_batch(tables, sites, rules_table, F.expr("timestamp'2024-02-01 00:00:00'"))(responses_none(spark), 9)
+    assert ("http://h.org/3", "no answer") in rows(tables.read("crawl_rejects"), "url", "reason") and tables.waiting(10).count() == 0
+
+
+def responses_none(spark):
+    return spark.createDataFrame([], "url string, status int, content_type string, body string")
+
+
+def test_replay_with_the_stored_time(spark, rows, sites, tmp_path):
+    tables = StageTables(spark, str(tmp_path / "t"))
+    run, embed = parse_batch(tables, sites), embed_batch(tables)
+    first = spark.createDataFrame([("m1", page("one", "/a"), 0, "http://h.org/1")], MESSAGE)
+    names = ("documents", "frontier", "doc_ids", "chunks")
+    seen = []
+    for _ in range(2):
+        run(first, 0)
+        embed(tables.read("doc_ids").select("id", "event_time"), 0)
+        seen.append([rows(tables.read(n)) for n in names])
+    assert seen[0] == seen[1] and len(seen[0][3]) == 1
+
+
+def test_bad_lines_empty_texts_and_bad_vectors_are_rejects(spark, rows, sites, tmp_path):
+    tables = StageTables(spark, str(tmp_path / "t"))
+    parse_batch(tables, sites, now())(spark.createDataFrame([("{not json",), ('{"id": "a"}',)], "message string"), 0)
+    assert rows(tables.read("rejects"), "reason") == [("bad message",)] * 2
+    docs = [("1", "http://h.org/1", "", "t"), ("2", "http://h.org/2", "words", "t"), ("3", "http://h.org/3", "other", "t")]
+    frame = spark.createDataFrame(docs, "doc_id string, url string, content string, title string")
+    tables.write("documents", 0, frame.withColumns({"created_at": now(), "updated_at": now()}))
+    import numpy as np
+
+    cfg = EmbedConfig(make_model=lambda _: lambda texts: np.array([[float("other" not in t)] * 64 for t in texts]))
+    embed_batch(tables, now(), cfg)(spark.createDataFrame([("1",), ("2",), ("3",)], "id string"), 0)
+    assert rows(tables.read("chunks"), "doc_id") == [("2",)]
+    got = rows(tables.read("embed_rejects"), "id", "reason")
+    assert [r[0] for r in got] == ["1", "3"] and got[0][1] == "empty text" and got[1][1].startswith("bad vector")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .weburl import absolute_url
 
@@ -47,7 +48,7 @@ def valid_urls(df: DataFrame, url: str = "url") -> DataFrame:
     return df.filter(is_valid_url(url))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _normal(urls: pd.Series) -> pd.Series:
     return urls.map(lambda u: None if u is None else absolute_url(u))
 

@@ -122,10 +122,16 @@ def embed_chunks(df: DataFrame, text: str, cfg: EmbedConfig = EmbedConfig()) ->
     return embed_column(pieces, "input", cfg).drop("input")
 
 
+def bad_vector(v: Column, dims: int) -> Column:
+    """Whether a vector is missing, has another length, or has no direction."""
+    odd = F.exists(v, lambda x: x.isNull() | F.isnan(x)) | F.forall(v, lambda x: x == 0)
+    return F.coalesce((F.size(v) != dims) | odd, F.lit(True))
+
+
 def check_chunks(chunks: DataFrame, dims: int) -> DataFrame:
-    """Fails the write when a vector is missing, has another length, or has no direction."""
+    """Fails the write on a bad vector."""
     v = F.col("embedding")
-    bad = v.isNull() | (F.size(v) != dims) | F.exists(v, lambda x: x.isNull() | F.isnan(x)) | F.forall(v, lambda x: x == 0)
+    bad = bad_vector(v, dims)
     error = F.raise_error(F.concat(F.lit("bad vector for chunk "), F.col("chunk_id").cast("string")))
     return chunks.withColumn("embedding", F.when(bad, error.cast("array<float>")).otherwise(v))
 

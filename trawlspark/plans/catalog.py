@@ -722,19 +722,26 @@ def stream_rate_limit(i):
 
 @_query
 def stream_crawl(i):
-    """One round over the whole frontier's answers."""
+    """Three rounds of two links per host; a third of all answers comes with each, before or after its link's round."""
     home = fresh_dir(i.spark, "crawl")
     tables = StageTables(i.spark, home)
     tables.write("frontier", 0, i.frontier().withColumn("updated_at", t0()))
     kind = F.col("page_id") % 5
     types = F.when(kind == 0, "text/html; charset=utf-8").when(kind == 1, "text/plain").when(kind == 2, "image/png").when(kind == 4, "bad")
-    answers = i.stream("pages").select("url", F.lit(200).alias("status"), types.alias("content_type"), F.col("html").alias("body"))
+    answers = i.table("pages").select("url", F.lit(200).alias("status"), types.alias("content_type"), F.col("html").alias("body"), "page_id")
+    for part in range(3):
+        answers.filter(F.col("page_id") % 3 == part).drop("page_id").coalesce(1).write.parquet(f"{home}/answers/{part}")
+    sent = (
+        i.spark.readStream.schema(answers.drop("page_id").schema).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", "true").parquet(f"{home}/answers")
+    )
     rules_table = robots.parse_robots(i.robots())
-    start_crawl(answers, tables, i.sites(), rules_table, f"{home}/checkpoint", as_of(), _NOW).awaitTermination()
-    sent, _ = messages.read_messages(tables.read("messages").select("message"))
-    rows = sent.select(F.lit("message").alias("output"), "url")
-    rows = rows.unionByName(tables.read("visits").select(F.lit("visit").alias("output"), "url"))
-    return rows.unionByName(tables.frontier().select(F.lit("frontier").alias("output"), "url"))
+    start_crawl(sent, tables, i.sites(), rules_table, f"{home}/checkpoint", as_of(), _NOW, per_host=2).awaitTermination()
+    found, _ = messages.read_messages(tables.read("messages").select("message"))
+    rows = found.select(F.lit("message").alias("output"), "url")
+    for output, table in (("visit", tables.read("visits")), ("held", tables.held(3)), ("frontier", tables.frontier())):
+        rows = rows.unionByName(table.select(F.lit(output).alias("output"), "url"))
+    return rows.unionByName(tables.read("crawl_rejects").select(F.col("reason").alias("output"), "url"))
 
 
 @_query
@@ -744,8 +751,12 @@ def stream_parse(i):
     rows = i.stream("pages").select(
         F.col("page_id").cast("string").alias("id"), F.col("html").alias("content"), (F.col("page_id") % 3).cast("int").alias("depth"), "url"
     )
-    start_parse(rows, tables, i.sites(), f"{home}/checkpoint", as_of(), _NOW).awaitTermination()
-    return tables.documents().select("url", "title", "content")
+    lines = rows.select(F.to_json(F.struct("id", "content", "depth", "url"), {"ignoreNullFields": "false"}).alias("m"), "id")
+    k = F.col("id").cast("bigint") % 10
+    cut = F.when(k == 3, F.substring("m", 1, 20)).when(k == 6, F.to_json(F.struct("id", F.lit("<body></body>").alias("content"), F.lit(0).alias("depth"), F.lit("u").alias("url")))).otherwise(F.col("m"))
+    start_parse(lines.select(cut.alias("message")), tables, i.sites(), f"{home}/checkpoint", as_of(), _NOW).awaitTermination()
+    docs = tables.documents().select("url", "title", "content")
+    return docs.unionByName(tables.read("rejects").select("url", F.lit(None).cast("string").alias("title"), F.col("reason").alias("content")))
 
 
 @_query

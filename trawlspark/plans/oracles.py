@@ -158,8 +158,8 @@ _CTE = {
     "configs": f"""SELECT page_id, 0 AS pos, url, CASE WHEN page_id % 3 <> 0 THEN page_id % 4 END AS depth,
             CASE WHEN page_id % 5 <> 0 THEN 1 + page_id % 4 END AS rps FROM pages
         UNION ALL SELECT page_id, 1, 'https://' || {_host('url')} || '/', 2, 1 + page_id % 2 FROM pages WHERE page_id % 2 = 0""",
-    "taken100": """SELECT f.* FROM judged_fresh f WHERE host IN (SELECT host FROM sites)
-        QUALIFY row_number() OVER (PARTITION BY host ORDER BY created_at, url) <= 100""",
+    "taken6": """SELECT f.* FROM judged_fresh f WHERE host IN (SELECT host FROM sites)
+        QUALIFY row_number() OVER (PARTITION BY host ORDER BY created_at, url) <= 6""",
     "round0": """SELECT j.*, row_number() OVER (PARTITION BY j.host, j.reason ORDER BY j.created_at, j.url_id) AS slot
         FROM judged0 j JOIN taken t USING (url_id)""",
     "round": """SELECT *, CASE WHEN reason = 'all checks passed' AND slot * interval_s > 1.0 THEN 'late' ELSE reason END AS r FROM round0""",
@@ -180,7 +180,7 @@ _NEEDS = {
     "links": ["hrefs"], "linked": ["links"], "page_nodes": ["bare"], "page_docs": ["page_nodes"], "pieces": ["clean_docs"],
     "spans0": ["pieces"], "n_tok": ["clean_docs", "pieces"], "tokens": ["spans0", "pieces", "clean_docs"],
     "windows": ["n_tok"], "doc_toks": ["spans0"], "spans": ["windows", "doc_toks"], "asked": ["docs"], "word": ["asked"], "keys": ["word"],
-    "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "taken100": ["judged_fresh"], "judged_fresh": ["frontier", "sites", "permitted"], "round": ["round0"],
+    "gaps": ["keys"], "ranges": ["asked", "gaps"], "kv_live": ["kv"], "round0": ["judged0", "taken"], "taken6": ["judged_fresh"], "judged_fresh": ["frontier", "sites", "permitted"], "round": ["round0"],
     "buckets": ["spans0"], "inputs": ["spans"], "slots": ["inputs"],
 }
 
@@ -399,9 +399,14 @@ def oracle_sql() -> dict[str, str]:
     q["stream_rate_limit"] = chain.format(op=">", span="1 DAY") + """SELECT event_id AS seq,
         event_id IN (SELECT event_id FROM kept) AS accepted FROM events"""
     q["stream_payload_join"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 BETWEEN 3 AND 12"
-    q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken100 WHERE ok AND url_id % 5 IN (0, 1)
-        UNION ALL SELECT 'visit', url FROM taken100 WHERE ok AND url_id % 5 <> 4
-        UNION ALL SELECT 'frontier', url FROM frontier WHERE url_id NOT IN (SELECT url_id FROM taken100)""", "taken100")
-    q["stream_parse"] = _sql("SELECT url, title, content FROM page_docs", "page_docs")
+    # Every page has one answer: it is a page, a visit, a reject, or held while its link queues.
+    q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken6 WHERE ok AND url_id % 5 IN (0, 1)
+        UNION ALL SELECT 'visit', url FROM taken6 WHERE ok AND url_id % 5 <> 4
+        UNION ALL SELECT 'unreadable content type', url FROM taken6 WHERE ok AND url_id % 5 = 4
+        UNION ALL SELECT 'not asked for', url FROM taken6 WHERE NOT ok
+        UNION ALL SELECT o, url FROM frontier, (VALUES ('held'), ('frontier')) x(o) WHERE url_id NOT IN (SELECT url_id FROM taken6)""", "taken6")
+    q["stream_parse"] = _sql("""SELECT url, title, content FROM page_docs WHERE page_id % 10 NOT IN (3, 6)
+        UNION ALL SELECT CASE WHEN page_id % 10 = 6 THEN 'u' END, NULL, CASE page_id % 10 WHEN 6 THEN 'body not found' ELSE 'bad message' END
+        FROM pages WHERE page_id % 10 IN (3, 6)""", "page_docs")
     q["stream_embed"] = _sql("SELECT doc_id, chunk_start, chunk_end FROM spans", "spans")
     return q

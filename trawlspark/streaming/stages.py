@@ -1,7 +1,7 @@
 """Crawl, parse and embed stages as streaming queries over append-only stage tables.
 
-Every trigger writes its rows below ``batch_id=<n>`` and overwrites only that folder, so a replayed trigger leaves
-the same tables. Earlier batches are read, never rewritten.
+Every trigger writes its rows below ``batch_id=<n>`` and overwrites only that folder. Earlier batches are read, never
+rewritten, and the time of a trigger is stored with it, so a replayed trigger leaves the same tables.
 """
 
 from __future__ import annotations
@@ -9,26 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.arrays import observed
 from ..operators.documents import lookup_documents
-from ..operators.embed import EmbedConfig, check_chunks
-from ..operators.frontier import BATCH_PER_HOST, TOO_FAST, enqueue_links, in_scope
+from ..functions.urls import normal_url
+from ..operators.embed import EmbedConfig, bad_vector
+from ..operators.frontier import BATCH_PER_HOST, TOO_FAST, VISIT_TTL, admit, dequeue, enqueue_links, gate_content_type, in_scope
 from ..operators.pages import link_rows
+from ..operators.ranking import first_per_group
 from ..operators.robots import DEFAULT_AGENT
-from ..plans.crawl import crawl_round
 from ..plans.index import index_documents
 from ..plans.parse import document_rows, read_pages
 from ..schemas import CHUNKS, DOCUMENTS, FRONTIER, QUEUE_MESSAGE
-from ..sources.messages import read_messages
+from ..session import durable
+from ..sources.messages import read_messages, to_messages
 from ..sources.queues import write_ids
 
 _VISITS = T.StructType([T.StructField("url", T.StringType()), T.StructField("visited_at", T.TimestampType())])
-_TAKEN = T.StructType([T.StructField("url", T.StringType()), T.StructField("created_at", T.TimestampType())])
+_TAKEN = T.StructType([T.StructField("url", T.StringType()), T.StructField("added", T.LongType())])
+_ASKED = T.StructType([
+    T.StructField("url", T.StringType()), T.StructField("added", T.LongType()), T.StructField("depth", T.IntegerType()),
+    T.StructField("asked_at", T.TimestampType()),
+])
+_ANSWER = T.StructType([
+    T.StructField("url", T.StringType()), T.StructField("status", T.IntegerType()), T.StructField("content_type", T.StringType()),
+    T.StructField("body", T.StringType()),
+])
+_SPENT = T.StructType([T.StructField("url", T.StringType()), T.StructField("arrived", T.LongType())])
+_TIME = T.StructType([T.StructField("at", T.TimestampType())])
 _MESSAGES = T.StructType([T.StructField("id", T.StringType()), T.StructField("message", T.StringType())])
 REJECTS = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "url", "reason")])
 _LINKS = T.StructType([f for f in FRONTIER.fields if f.name != "url_id"])
@@ -45,7 +57,9 @@ class StageTables:
 
     _SCHEMAS = {
         "documents": DOCUMENTS, "frontier": _LINKS, "chunks": CHUNKS, "doc_ids": QUEUE_MESSAGE, "rejects": REJECTS,
-        "taken": _TAKEN, "visits": _VISITS, "messages": _MESSAGES,
+        "taken": _TAKEN, "visits": _VISITS, "messages": _MESSAGES, "asked": _ASKED, "closed": _TAKEN, "early": _ANSWER,
+        "spent": _SPENT, "crawl_rejects": REJECTS, "embed_rejects": REJECTS,
+        "crawl_times": _TIME, "parse_times": _TIME, "embed_times": _TIME,
     }
 
     def path(self, name: str, batch: int | None = None) -> str:
@@ -54,10 +68,12 @@ class StageTables:
     def read(self, name: str, before: int | None = None) -> DataFrame:
         """All rows, or those of the batches before the given one, with their batch_id."""
         schema = T.StructType([*self._SCHEMAS[name].fields, T.StructField("batch_id", T.LongType())])
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+        try:
+            rows = self.spark.read.schema(schema).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(self.path(name))
         return rows if before is None else rows.filter(F.col("batch_id") < before)
 
     def write(self, name: str, batch: int, df: DataFrame) -> None:
@@ -65,15 +81,35 @@ class StageTables:
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         rows.write.mode("overwrite").parquet(self.path(name, batch))
 
+    def time(self, stage: str, batch: int, given: Column | None = None) -> Column:
+        """The given time, or one time per stage and batch that is stored when first asked for."""
+        if given is not None:
+            return given
+        known = self.read(f"{stage}_times").filter(F.col("batch_id") == batch).first()
+        if known is None:
+            self.write(f"{stage}_times", batch, self.spark.range(1).select(F.current_timestamp().alias("at")))
+            known = self.read(f"{stage}_times").filter(F.col("batch_id") == batch).first()
+        return F.lit(known["at"])
+
     def frontier(self, before: int | None = None, taken_before: int | None = None) -> DataFrame:
-        """Queued links: all that were added and not taken since."""
-        taken = self.read("taken", taken_before).select("url", "created_at")
-        return self.read("frontier", before).drop("batch_id").join(taken, ["url", "created_at"], "left_anti")
+        """Queued links: all that were added (in batch ``added``) and not taken since."""
+        taken = self.read("taken", taken_before).select("url", "added")
+        return self.read("frontier", before).withColumnRenamed("batch_id", "added").join(taken, ["url", "added"], "left_anti")
+
+    def waiting(self, batch: int) -> DataFrame:
+        """Links that were asked for up to a batch and not closed before it."""
+        closed = self.read("closed", batch).select("url", "added")
+        return self.read("asked", batch + 1).drop("batch_id").join(closed, ["url", "added"], "left_anti")
+
+    def held(self, batch: int) -> DataFrame:
+        """Answers (and the batch they ``arrived`` in) that came before their link was asked for."""
+        early = self.read("early", batch).withColumnRenamed("batch_id", "arrived")
+        return early.join(self.read("spent", batch).select("url", "arrived"), ["url", "arrived"], "left_anti")
 
     def messages(self) -> DataFrame:
-        """Stream of the page messages (id, content, depth, url)."""
+        """Stream of the page messages as JSON (message); the parse stage decodes them and rejects bad ones."""
         lines = self.spark.readStream.schema(_MESSAGES).option("recursiveFileLookup", "true").parquet(self.path("messages"))
-        return read_messages(lines.drop("id"))[0]
+        return lines.select("message")
 
     def documents(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
         """Current documents: identity from the first write of a URL, content from the last.
@@ -89,11 +125,21 @@ class StageTables:
         return current.select("f.doc_id", "url", "l.content", "f.title", "f.created_at", "l.updated_at")
 
 
-def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: messages (id, content, depth, url) → documents, links, document ids, rejects."""
+def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: messages → documents, links, document ids, rejects.
+
+    Messages are records (id, content, depth, url) or JSON lines (message); a line that is no record is a reject.
+    """
+    given = as_of
 
     def run(messages: DataFrame, batch: int) -> None:
+        as_of = tables.time("parse", batch, given)
+        bad = None
+        if "message" in messages.columns:
+            messages, undecoded = read_messages(messages.select("message"))
+            bad = undecoded.select(*[F.lit(None).cast("string").alias(c) for c in ("id", "url")], "reason")
         pages, rejects = read_pages(messages)
+        rejects = rejects if bad is None else rejects.select("id", "url", "reason").unionByName(bad)
         pages = pages.persist()
         try:
             rows = document_rows(pages, as_of)
@@ -126,33 +172,98 @@ def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column) -> Callabl
 
 
 def crawl_batch(
-    tables: StageTables, sites: DataFrame, rules: DataFrame, as_of: Column, agent: str = DEFAULT_AGENT,
-    per_host: int = BATCH_PER_HOST, round_s: float | None = None,
+    tables: StageTables, sites: DataFrame, rules: DataFrame, as_of: Column | None = None, agent: str = DEFAULT_AGENT,
+    per_host: int = BATCH_PER_HOST, round_s: float | None = None, answer_ttl: str = VISIT_TTL,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function of one crawl round: takes the oldest links of each host and the answers
-    (url, status, content_type, body) of the trigger; writes messages, visits and what left the queue."""
+    """``foreachBatch`` function of one crawl round.
+
+    A round takes the oldest links of each host from the queue and adds the admitted ones to the list of links asked
+    for. Answers (url, status, content_type, body) of this or any later trigger are joined to that list and become
+    messages and visits; the first answer of a URL counts. An answer whose link still queues is held until its round.
+    Rejected, with a reason: answers nobody asked for, further answers, unreadable types, and links without an answer
+    for ``answer_ttl``. So every answer is a page, a visit, held, or a reject.
+    """
+    given = as_of
 
     def run(responses: DataFrame, batch: int) -> None:
+        as_of = tables.time("crawl", batch, given)
         queue = tables.frontier(taken_before=batch).withColumn("url_id", F.col("url"))
-        visited = tables.read("visits", batch)
-        out = crawl_round(queue, sites, rules, visited, responses, as_of, agent, per_host, round_s)
-        tables.write("messages", batch, out.messages)
-        tables.write("visits", batch, out.visits)
-        tables.write("taken", batch, out.judged.filter(F.col("reason") != TOO_FAST))
+        taken, _ = dequeue(queue, sites, per_host)
+        judged = durable(admit(taken, sites, rules, tables.read("visits", batch), as_of, agent, round_s, max_per_host=per_host))
+        tables.write("taken", batch, queue.join(_left(queue, sites, per_host, judged), ["url", "added"], "left_semi"))
+        tables.write("asked", batch, judged.filter("ok").withColumn("asked_at", as_of))
+
+        waiting = durable(tables.waiting(batch))
+        fresh = responses.select(F.coalesce(normal_url("url"), "url").alias("url"), "status", "content_type", "body")
+        answers = fresh.withColumn("arrived", F.lit(batch).cast("bigint")).unionByName(tables.held(batch))
+        # Bodies move once, to where the first answer of their URL is found; what follows reads the stored rows.
+        turn = F.row_number().over(Window.partitionBy("url").orderBy("arrived", F.xxhash64("status", "content_type", "body")))
+        asked = waiting.groupBy("url").agg(F.min_by("depth", "added").alias("depth"))
+        queued = tables.frontier(taken_before=batch + 1).select("url").distinct().withColumn("queued", F.lit(True))
+        state = (
+            F.when(F.col("turn") > 1, "answered before")
+            .when(F.col("depth").isNotNull(), "asked")
+            .when(F.col("queued"), "held")
+            .otherwise("not asked for")
+        )
+        known = answers.withColumn("turn", turn).join(asked, "url", "left").join(queued, "url", "left")
+        known = known.withColumn("state", state).persist()
+        try:
+            fetched = known.filter("state = 'asked'")
+            pages, seen, errors = gate_content_type(fetched)
+            tables.write("messages", batch, to_messages(pages.withColumnRenamed("body", "content"), as_of))
+            tables.write("visits", batch, seen.select("url", as_of.alias("visited_at")))
+            tables.write("early", batch, known.filter((F.col("state") == "held") & (F.col("arrived") == batch)))
+            tables.write("spent", batch, known.filter((F.col("state") != "held") & (F.col("arrived") < batch)))
+            answered = waiting.join(fetched.select("url"), "url", "left_semi")
+            late = waiting.filter(F.col("asked_at") + F.expr(f"INTERVAL {answer_ttl}") <= as_of)
+            late = late.join(fetched.select("url"), "url", "left_anti")
+            tables.write("closed", batch, answered.unionByName(late))
+            reasons = [
+                known.filter(F.col("state").isin("not asked for", "answered before")).select("url", F.col("state").alias("reason")),
+                errors.select("url", F.lit("unreadable content type").alias("reason")),
+                late.select("url", F.lit("no answer").alias("reason")),
+            ]
+            rejects = reasons[0].unionByName(reasons[1]).unionByName(reasons[2])
+            tables.write("crawl_rejects", batch, rejects.withColumn("id", F.lit(None).cast("string")))
+        finally:
+            known.unpersist()
 
     return run
 
 
-def embed_batch(tables: StageTables, as_of: Column, cfg: EmbedConfig) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: document ids → chunks; unknown ids go to the rejects of the stage."""
+def _left(queue: DataFrame, sites: DataFrame, per_host: int, judged: DataFrame) -> DataFrame:
+    """(url, added) of the rows that leave the queue: the dequeued ones, but those a rate limit sends back."""
+    back = judged.filter(F.col("reason") == TOO_FAST).select("url", "added")
+    oldest = first_per_group(in_scope(queue, sites), ["host"], [F.col("created_at"), F.col("url_id")], per_host)
+    return oldest.select("url", "added").join(back, ["url", "added"], "left_anti")
+
+
+def embed_batch(
+    tables: StageTables, as_of: Column | None = None, cfg: EmbedConfig = EmbedConfig()
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: document ids → chunks.
+
+    Unknown ids, documents without text and chunks with a bad vector go to the rejects of the stage.
+    """
+    given = as_of
 
     def run(ids: DataFrame, batch: int) -> None:
+        as_of = tables.time("embed", batch, given)
         wanted = ids.select(F.col("id").alias("doc_id")).distinct()
         found, missing = lookup_documents(wanted, tables.documents(ids=wanted))
-        counted, _ = observed(index_documents(found, as_of, cfg), f"chunks_{batch}")
-        tables.write("chunks", batch, check_chunks(counted, cfg.dims))
-        lost = missing.select(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("url"), "reason")
-        lost.write.mode("overwrite").parquet(f"{tables.root}/embed_rejects/batch_id={batch}")
+        found = found.persist()
+        try:
+            made = index_documents(found, as_of, cfg).withColumn("bad", bad_vector(F.col("embedding"), cfg.dims)).persist()
+            tables.write("chunks", batch, made.filter("not bad"))
+            rejects = missing.select("doc_id", "reason").unionByName(
+                found.filter("content = ''").select("doc_id", F.lit("empty text").alias("reason"))
+            ).unionByName(made.filter("bad").select("doc_id", F.concat(F.lit("bad vector for chunk "), "chunk_id").alias("reason")))
+            lost = rejects.select(F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("url"), "reason")
+            tables.write("embed_rejects", batch, lost)
+            made.unpersist()
+        finally:
+            found.unpersist()
 
     return run
 
@@ -171,7 +282,7 @@ def start_crawl(
     as_of: Column | None = None, trigger: dict | None = None, **options,
 ) -> StreamingQuery:
     """Crawl rounds, one per trigger; by default the next one comes a pause later."""
-    run = crawl_batch(tables, sites, rules, as_of if as_of is not None else F.current_timestamp(), **options)
+    run = crawl_batch(tables, sites, rules, as_of, **options)
     return _start(responses, run, checkpoint, trigger)
 
 
@@ -180,7 +291,7 @@ def start_parse(
     as_of: Column | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Parse stage over a stream of messages. ``trigger={"availableNow": True}`` ends after what is there."""
-    return _start(messages, parse_batch(tables, sites, as_of if as_of is not None else F.current_timestamp()), checkpoint, trigger)
+    return _start(messages, parse_batch(tables, sites, as_of), checkpoint, trigger)
 
 
 def start_embed(
@@ -188,4 +299,4 @@ def start_embed(
     as_of: Column | None = None, cfg: EmbedConfig = EmbedConfig(), trigger: dict | None = None,
 ) -> StreamingQuery:
     """Embed stage over a stream of document ids."""
-    return _start(ids, embed_batch(tables, as_of if as_of is not None else F.current_timestamp(), cfg), checkpoint, trigger)
+    return _start(ids, embed_batch(tables, as_of, cfg), checkpoint, trigger)
