@@ -75,7 +75,7 @@ def test_scans_are_pruned_and_filters_pushed(spark, inputs):
     home = fresh_dir(spark, "docs")
     inputs.documents().write.parquet(home)
     page = spark.createDataFrame([(3, 0.5), (7, 0.4)], "doc_id long, similarity double")
-    text = plan(search.attach_documents(page, spark.read.parquet(home), 2))
+    text = plan(search.attach_documents(page, spark.read.parquet(home), lookup=True))
     assert re.search(r"PushedFilters: \[.*In\(doc_id, \[3,7\]\)", text)
     text = plan(search.best_candidates(inputs.chunks(), inputs.query_vectors(1), 5))
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in text

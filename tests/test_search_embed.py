@@ -42,7 +42,7 @@ def docs(spark, ids):
 
 
 @pytest.mark.parametrize("fk", [True, False])
-@pytest.mark.parametrize("block", [search.QUERY_BLOCK_BYTES, 200])
+@pytest.mark.parametrize("block", [search.QUERY_PASS_BYTES, 200])
 def test_pages_equal_brute_force(spark, fk, block):
     chunks, v, doc = make_chunks(spark)
     queries, q = make_queries(spark)
@@ -58,9 +58,10 @@ def test_pages_equal_brute_force(spark, fk, block):
         assert all(doc[c] == d for _, c, d in page)
 
 
-def test_many_queries_go_in_blocks(spark, monkeypatch):
-    """More queries than one fetch takes: blocks by hash, nothing lost."""
-    monkeypatch.setattr(search, "PAGE_LOOKUP_ROWS", 3)
+def test_many_queries_go_in_passes(spark, monkeypatch):
+    """More queries than one pass takes, and tasks that hand on their candidates early: nothing lost."""
+    monkeypatch.setattr(search, "HELD_BYTES", 200)
+    monkeypatch.setattr(search, "MATRIX_CELLS", 50)
     chunks, v, _ = make_chunks(spark, 200)
     queries, q = make_queries(spark, 9)
     got = search.top_documents(chunks, docs(spark, range(201)), queries, 1, 0, True, 300).collect()

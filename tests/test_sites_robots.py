@@ -21,7 +21,7 @@ def test_last_entry_of_a_host_wins(spark, rows):
     got = sites.parse_sites(configs(spark, text), order="n")
     assert rows(got) == [("a.org", "https://a.org/y", None, None, 0.5), ("b.org", "https://b.org/", None, 4, 0.25)]
     entries = sites.site_entries(configs(spark, text))
-    assert [r[0] for r in rows(sites.seed_frontier(entries))] == ["https://A.org/y", "https://a.org/x", "https://b.org/"]
+    assert [r[0] for r in rows(sites.seed_frontier(entries))] == ["https://a.org/x", "https://a.org/y", "https://b.org/"]
     assert rows(sites.robots_targets(entries))[0] == ("a.org", "https://a.org/robots.txt")
 
 

@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .ranking import first_per_group
 
-# Query vectors travel to the workers in blocks of at most this many bytes; more queries mean more blocks.
-QUERY_BLOCK_BYTES = 32 * 1024 * 1024
-# Result pages of at most this many rows are looked up in the document table by pushed-down ids.
-PAGE_LOOKUP_ROWS = 1000
+# Query vectors of one pass over the chunks; every task holds these. More queries mean more passes.
+QUERY_PASS_BYTES = 128 * 1024 * 1024
+# Candidates a task holds before it hands them on, and cells of one similarity matrix.
+HELD_BYTES = 64 * 1024 * 1024
+MATRIX_CELLS = 4_000_000
 
 
 def _best_first():
@@ -29,93 +31,97 @@ def check_page(limit: int, offset: int) -> None:
             raise ValueError(f"{name} must be between 0 and 2147483647")
 
 
-def small_copy(df: DataFrame, max_rows: int = PAGE_LOOKUP_ROWS) -> DataFrame | None:
-    """``df`` as a local table if it has at most ``max_rows`` rows, so that it is computed once; else None."""
-    head = df.limit(max_rows + 1).toArrow()
-    return None if head.num_rows > max_rows else df.sparkSession.createDataFrame(head, df.schema)
-
-
-def _query_blocks(query_vectors: DataFrame, block_bytes: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Query ids and unit vectors, block by block; every fetch is of checked size."""
-    rows = query_vectors.filter(F.col("vector").isNotNull()).select("query_id", F.col("vector").cast("array<double>"))
-    head = rows.limit(PAGE_LOOKUP_ROWS + 1).toArrow().combine_chunks()
-    if head.num_rows <= PAGE_LOOKUP_ROWS:
-        step = max(1, block_bytes * head.num_rows // max(head.nbytes, 1))
-        tables = (head.slice(at, step) for at in range(0, head.num_rows, step))
-    else:
-        total = rows.agg(F.sum(F.size("vector").cast("bigint") * 8 + 64).alias("b")).first()["b"]
-        blocks = int(-(-2 * total // block_bytes))
-        part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-        tables = (rows.filter(part == b).toArrow() for b in range(blocks))
-    for table in tables:
-        if not table.num_rows:
-            continue
-        matrix = np.array(table.column("vector").to_pylist(), dtype=np.float64)
-        norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-        with np.errstate(invalid="ignore", divide="ignore"):
-            yield table.combine_chunks().column("query_id").combine_chunks(), matrix / norms
-
-
-def _similarities(batch: pa.RecordBatch, unit_queries: np.ndarray) -> np.ndarray:
-    """Rows × queries matrix of cosine similarities of one Arrow batch."""
+def _query_passes(query_vectors: DataFrame, pass_bytes: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Query ids, unit vectors and depths, pass by pass. Queries are computed once; a fetch is of bounded size."""
+    depth = F.col("depth") if "depth" in query_vectors.columns else F.lit(0)
+    rows = query_vectors.filter(F.col("vector").isNotNull()).select(
+        "query_id", F.col("vector").cast("array<double>"), depth.cast("bigint").alias("depth")
+    )
+    rows = stored(rows, "queries")
+    total = rows.agg(F.sum(F.size("vector").cast("bigint") * 8 + 64)).first()[0] or 0
+    passes = -(-total // pass_bytes)
+    part = F.pmod(F.xxhash64("query_id"), F.lit(max(passes, 1)))
+    for n in range(passes):
+        table = rows.filter(part == n).toArrow()
+        if table.num_rows:
+            matrix = np.array(table.column("vector").to_pylist(), dtype=np.float64)
+            norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                unit = matrix / norms
+            yield table.combine_chunks().column("query_id").combine_chunks(), unit, np.asarray(table.column("depth"))
+
+
+def _unit_rows(batch: pa.RecordBatch, dims: int) -> np.ndarray:
+    """Unit vectors of one Arrow batch; NaN where a vector has no direction."""
     column = batch.column("embedding")
     sizes = np.asarray(pc.list_value_length(column))
-    dims = unit_queries.shape[1]
     if (sizes != dims).any():
         raise ValueError(f"vectors differ in length: expected {dims}, got {sorted(set(sizes.tolist()))}")
     matrix = np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), dims)
-    norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     with np.errstate(invalid="ignore", divide="ignore"):
-        return (matrix @ unit_queries.T) / norms
+        return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
-def _keep_best(table: pa.Table, k: int | None) -> pa.Table:
-    """Per query number the best row of each document, and of these the best ``k``."""
+def _keep_best(table: pa.Table, depth: np.ndarray | None) -> pa.Table:
+    """Per query number the best row of each document, and of these as many as its depth."""
     order = [("_q", "ascending"), ("similarity", "descending"), ("chunk_id", "ascending")]
     table = table.take(pc.sort_indices(table, sort_keys=order))
     q = np.asarray(table.column("_q"))
     doc = np.asarray(table.column("doc_id").combine_chunks().dictionary_encode().indices).astype(np.int64)
     first = np.sort(np.unique(q * (doc.max(initial=0) + 1) + doc, return_index=True)[1])
-    if k is not None:
+    if depth is not None:
         ranked = q[first]
         rank = np.arange(len(first)) - np.searchsorted(ranked, ranked, side="left")
-        first = first[rank < k]
+        first = first[rank < depth[ranked]]
     return table.take(pa.array(first))
 
 
-def _block_candidates(chunks: DataFrame, ids: pa.Array, unit: np.ndarray, k: int | None, query_type) -> DataFrame:
+def _pass_candidates(
+    chunks: DataFrame, ids: pa.Array, unit: np.ndarray, depth: np.ndarray | None, query_type: T.DataType
+) -> DataFrame:
     payload = [f for f in chunks.schema.fields if f.name != "embedding"]
     schema = T.StructType(
         [T.StructField("query_id", query_type), *payload, T.StructField("similarity", T.DoubleType())]
     )
     names = schema.names
-
-    def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        out = table.append_column("query_id", ids.take(table.column("_q").combine_chunks())).select(names)
-        yield from out.to_batches()
+    shared = chunks.sparkSession.sparkContext.broadcast((ids, unit, depth))  # bounded by the size of a pass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, unit, depth = shared.value
         held: pa.Table | None = None
         floor = np.full(len(ids), -np.inf)
+
+        def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            out = table.append_column("query_id", ids.take(table.column("_q").combine_chunks())).select(names)
+            yield from out.to_batches()
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sims = _similarities(batch, unit)
-            # False for NaN: a vector without direction is no hit.
-            rows, qs = np.nonzero(sims >= floor)
-            if not len(rows):
-                continue
-            table = pa.Table.from_batches([batch.drop_columns(["embedding"]).take(pa.array(rows))])
-            table = table.append_column("_q", pa.array(qs.astype(np.int64)))
-            table = table.append_column("similarity", pa.array(sims[rows, qs]))
-            if k is None:
-                yield from finish(_keep_best(table, None))
-                continue
-            held = _keep_best(table if held is None else pa.concat_tables([held, table]), k)
-            q, s = np.asarray(held.column("_q")), np.asarray(held.column("similarity"))
-            ends = np.searchsorted(q, np.arange(len(ids)), side="right")
-            full = np.bincount(q, minlength=len(ids)) >= k
-            floor[full] = s[ends[full] - 1]
+            rows_unit = _unit_rows(batch, unit.shape[1])
+            plain = batch.drop_columns(["embedding"])
+            step = max(1, MATRIX_CELLS // batch.num_rows)
+            for at in range(0, len(ids), step):
+                sims = rows_unit @ unit[at : at + step].T
+                # False for NaN: a vector without direction is no hit.
+                rows, qs = np.nonzero(sims >= floor[at : at + step])
+                if not len(rows):
+                    continue
+                table = pa.Table.from_batches([plain.take(pa.array(rows))])
+                table = table.append_column("_q", pa.array(qs.astype(np.int64) + at))
+                table = table.append_column("similarity", pa.array(sims[rows, qs]))
+                if depth is None:
+                    yield from finish(_keep_best(table, None))
+                    continue
+                held = _keep_best(table if held is None else pa.concat_tables([held, table]), depth)
+                q, s = np.asarray(held.column("_q")), np.asarray(held.column("similarity"))
+                counts = np.bincount(q, minlength=len(ids))
+                full = counts >= depth
+                ends = np.searchsorted(q, np.arange(len(ids)), side="right")
+                floor[full] = np.maximum(floor[full], s[ends[full] - 1])
+                if held.nbytes > HELD_BYTES:  # what follows must still beat the floors; the ranking merges the parts
+                    yield from finish(held)
+                    held = None
         if held is not None:
             yield from finish(held)
 
@@ -123,27 +129,26 @@ def _block_candidates(chunks: DataFrame, ids: pa.Array, unit: np.ndarray, k: int
 
 
 def best_candidates(
-    chunks: DataFrame, query_vectors: DataFrame, k: int | None = None, block_bytes: int = QUERY_BLOCK_BYTES
+    chunks: DataFrame, query_vectors: DataFrame, k: int | None = None, pass_bytes: int = QUERY_PASS_BYTES
 ) -> DataFrame:
     """Scored chunks (query_id, chunk columns, similarity) reduced inside each task, ahead of any shuffle.
 
-    Every task keeps the best chunk per query and document it sees and, given ``k``, only the best ``k`` documents
-    per query. That loses no result: a document among the overall best ``k`` is among the best ``k`` of the task that
-    holds its best chunk. A document with very many chunks, or a hot query, leaves a task as few rows.
-    Chunks without vector or document are no hits.
+    Every task keeps the best chunk per query and document it sees and, given ``k`` or a column ``depth`` per query,
+    only so many documents per query. That loses no result: a document among the overall best ``k`` is among the best
+    ``k`` of the task that holds its best chunk. A document with very many chunks, or a hot query, leaves a task as few
+    rows. Chunks without vector or document are no hits. The chunks are read once for each ``pass_bytes`` of queries.
     """
     usable = chunks.filter(F.col("embedding").isNotNull() & F.col("doc_id").isNotNull())
     query_type = query_vectors.schema["query_id"].dataType
-    parts = [
-        _block_candidates(usable, ids, unit, k, query_type)
-        for ids, unit in _query_blocks(query_vectors, block_bytes)
-    ]
-    if not parts:
+    asked = query_vectors if k is None else query_vectors.withColumn("depth", F.lit(k))
+    pruned = "depth" in asked.columns
+    out = None
+    for ids, unit, depth in _query_passes(asked, pass_bytes):
+        part = _pass_candidates(usable, ids, unit, np.maximum(depth, 1) if pruned else None, query_type)
+        out = part if out is None else out.unionAll(part)
+    if out is None:
         empty = F.lit(None).cast(query_type).alias("query_id"), "*", F.lit(None).cast("double").alias("similarity")
         return usable.drop("embedding").select(*empty).limit(0)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
     return out
 
 
@@ -166,14 +171,14 @@ def rank_pages(best: DataFrame, limit: int, offset: int = 0) -> DataFrame:
     return ranked.filter(F.col("rank") > offset)
 
 
-def attach_documents(ranked: DataFrame, documents: DataFrame, page_rows: int | None = None) -> DataFrame:
+def attach_documents(ranked: DataFrame, documents: DataFrame, lookup: bool = False) -> DataFrame:
     """Adds url, content and title. Comes after the limit, so that only the page's documents are read in full.
 
-    When the page is known to hold at most ``page_rows`` rows and that is a small number, its ids are fetched and
-    pushed into the document scan, where row-group statistics skip almost everything. Else it is a plain join.
+    A plain join, for result pages of any size. With ``lookup`` the ids of the page are fetched and pushed into the
+    document scan, where row-group statistics skip almost everything: the way for one page shown to a person.
     """
     wanted = documents.select("doc_id", "url", "content", "title")
-    if page_rows is not None and page_rows <= PAGE_LOOKUP_ROWS:
+    if lookup:
         rows = ranked.collect()
         page = ranked.sparkSession.createDataFrame(rows, ranked.schema)
         ids = sorted({r["doc_id"] for r in rows})
@@ -181,25 +186,40 @@ def attach_documents(ranked: DataFrame, documents: DataFrame, page_rows: int | N
     return ranked.join(wanted, "doc_id")
 
 
+def known_chunks(chunks: DataFrame, documents: DataFrame) -> DataFrame:
+    """Chunks whose document exists.
+
+    Orphaned ids are found on the id columns alone and stored, so the vectors need no shuffle while orphans are few.
+    """
+    ids = chunks.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+    orphans = stored(ids.join(documents.select("doc_id"), "doc_id", "left_anti"), "orphans")
+    return chunks.join(orphans, "doc_id", "left_anti")
+
+
 def top_documents(
     chunks: DataFrame,
     documents: DataFrame,
     query_vectors: DataFrame,
-    limit: int,
+    limit: int = 10,
     offset: int = 0,
     assume_fk: bool = False,
-    block_bytes: int = QUERY_BLOCK_BYTES,
+    pass_bytes: int = QUERY_PASS_BYTES,
 ) -> DataFrame:
     """The page of each query: (query_id, rank, chunk columns, similarity), document text not attached yet.
 
-    ``assume_fk`` states that every chunk's document exists, as the table writers of this package ensure; then tasks
-    keep no more than limit + offset documents per query. Else chunks of missing documents are removed first, on
-    narrow rows, because they would take places of real hits.
+    Columns limit and offset of the queries, if present, replace the two arguments. ``assume_fk`` states that every
+    chunk's document exists, as the table writers of this package ensure; else chunks of missing documents are taken
+    out first, because they would take places of real hits. Tasks keep limit + offset documents per query.
     """
     check_page(limit, offset)
-    k = max(limit + offset, 1) if assume_fk else None
-    hits = best_candidates(chunks, query_vectors, k, block_bytes)
-    if not assume_fk:
-        # Partitions rows by doc_id, which the ranking below can use as it is.
-        hits = hits.join(documents.select("doc_id"), "doc_id", "left_semi")
-    return rank_pages(best_chunk_per_doc(hits), limit, offset)
+    own = {"limit", "offset"} <= set(query_vectors.columns)
+    depth = F.col("limit") + F.col("offset") if own else F.lit(limit + offset)
+    asked = query_vectors.withColumn("depth", depth.cast("bigint"))
+    usable = chunks if assume_fk else known_chunks(chunks, documents)
+    best = best_chunk_per_doc(best_candidates(usable, asked, None, pass_bytes))
+    if not own:
+        return rank_pages(best, limit, offset)
+    pages = query_vectors.select("query_id", F.col("limit").alias("_l"), F.col("offset").alias("_o"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*_best_first()))
+    ranked = best.withColumn("rank", rank).join(pages, "query_id")
+    return ranked.filter((F.col("rank") > F.col("_o")) & (F.col("rank") <= F.col("_o") + F.col("_l"))).drop("_l", "_o")

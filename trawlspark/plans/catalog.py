@@ -57,7 +57,7 @@ def _r6(c, alias: str):
 
 def _top(i: Inputs, limit: int, offset: int) -> DataFrame:
     page = search.top_documents(i.chunks(), i.documents(), i.query_vectors(1), limit, offset)
-    hits = search.attach_documents(page, i.documents(), limit)
+    hits = search.attach_documents(page, i.documents(), lookup=True)
     return hits.select("chunk_id", "doc_id", "url", _r6("similarity", "similarity"))
 
 
@@ -91,10 +91,18 @@ def cosine_similarity(i):
 
 @_query
 def search_results(i):
-    found = search_vectors(i.chunks(), i.documents(), i.query_vectors(), 10, 0)
+    found = search_vectors(i.chunks(), i.documents(), i.query_vectors(), 10, 0, lookup=True)
     return found.select("query_id", _long("rank"), "url", _r6("score", "score"), "summary", "title")
 
 
+@_query
+def search_many(i):
+    """Every vector of the table as a query."""
+    asked = i.table("embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    page = search.top_documents(i.chunks(), i.documents(), asked, 3)
+    return page.select("query_id", _long("rank"), "doc_id", _r6("similarity", "similarity"))
+
+
 @_query
 def search_own_pages(i):
     """Requests with their own limit and offset."""
@@ -105,7 +113,7 @@ def search_own_pages(i):
 
 @_query
 def result_cards(i):
-    found = search_vectors(i.chunks(), i.documents(), i.query_vectors(), 10, 0, lookup=False)
+    found = search_vectors(i.chunks(), i.documents(), i.query_vectors(), 10, 0)
     return snippets.result_cards(found).select("query_id", _long("rank"), "url", "summary", "title")
 
 

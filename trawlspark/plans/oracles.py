@@ -221,6 +221,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT doc_id, chunk_id, round(s, 6) AS similarity FROM best WHERE query_id = 0", "best")
     q["search_batch"] = _sql(
         "SELECT query_id, rank, chunk_id, round(s, 6) AS similarity FROM ranked WHERE rank <= 10", "ranked")
+    q["search_many"] = _sql("""SELECT query_id, rank, doc_id, round(s, 6) AS similarity FROM (SELECT *,
+            row_number() OVER (PARTITION BY query_id ORDER BY s DESC, chunk_id) AS rank FROM (SELECT query_id, chunk_id, doc_id, s
+            FROM (SELECT q.vec_id AS query_id, c.chunk_id, c.doc_id, list_cosine_similarity(c.embedding, q.embedding::DOUBLE[]) AS s
+                FROM chunk c, embeddings q WHERE c.doc_id IN (SELECT doc_id FROM docs))
+            QUALIFY row_number() OVER (PARTITION BY query_id, doc_id ORDER BY s DESC, chunk_id) = 1)) WHERE rank <= 3""", "chunk", "docs")
     q["cosine_similarity"] = """SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[],
         (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS similarity FROM embeddings"""
     results = _snippet_of("sliced", "query_id, rank, url, round(s, 6) AS score, title")

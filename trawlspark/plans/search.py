@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.embed import EmbedConfig, embed_texts
-from ..operators.search import attach_documents, small_copy, top_documents
+from ..operators.search import attach_documents, top_documents
 from ..operators.snippets import summarize_hits
+from ..session import stored
 
 
 def search_vectors(
@@ -17,32 +18,16 @@ def search_vectors(
     limit: int = 10,
     offset: int = 0,
     assume_fk: bool = False,
-    lookup: bool = True,
+    lookup: bool = False,
 ) -> DataFrame:
     """Results (query_id, rank, url, score, summary, title) of embedded queries (query_id, query, vector).
 
-    Per-query columns limit and offset, if present, replace the two arguments. ``lookup`` fetches a small page's
-    ids first, so that the document scan can skip by statistics; without it the plan stays lazy to the end.
+    Per-query columns limit and offset, if present, replace the two arguments. ``lookup`` fetches the ids of the result
+    pages and pushes them into the document scan (``attach_documents``); without it any number of results will do.
+    The queries are stored once in the shared folder, so each is embedded once.
     """
-    few = small_copy(query_vectors)
-    query_vectors = query_vectors if few is None else few
-    own_pages = {"limit", "offset"} <= set(query_vectors.columns)
-    rows = None
-    if own_pages:
-        bounds = query_vectors.agg(
-            F.max(F.col("limit") + F.col("offset")).alias("depth"), F.sum("limit").alias("rows")
-        ).first()
-        depth, rows = int(bounds["depth"] or 0), int(bounds["rows"] or 0)
-        pages = query_vectors.select("query_id", F.col("limit").alias("_l"), F.col("offset").alias("_o"))
-        ranked = top_documents(chunks, documents, query_vectors, depth, 0, assume_fk)
-        ranked = ranked.join(pages, "query_id").filter(
-            (F.col("rank") > F.col("_o")) & (F.col("rank") <= F.col("_o") + F.col("_l"))
-        ).drop("_l", "_o")
-    else:
-        ranked = top_documents(chunks, documents, query_vectors, limit, offset, assume_fk)
-        if few is not None:
-            rows = limit * few.count()
-    hits = attach_documents(ranked, documents, rows if lookup else None)
+    query_vectors = stored(query_vectors, "asked")
+    hits = attach_documents(top_documents(chunks, documents, query_vectors, limit, offset, assume_fk), documents, lookup)
     asked = hits.join(query_vectors.select("query_id", "query"), "query_id")
     return summarize_hits(asked).select(
         "query_id", "rank", "url", F.col("similarity").alias("score"), "summary", "title"
@@ -57,7 +42,7 @@ def search(
     offset: int = 0,
     cfg: EmbedConfig = EmbedConfig(),
     assume_fk: bool = False,
-    lookup: bool = True,
+    lookup: bool = False,
 ) -> DataFrame:
     """``search_vectors`` for plain texts (query_id, query): embeds them first; empty queries give no results."""
     embedded, _ = embed_texts(queries, "query", cfg, "vector")

@@ -66,6 +66,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df, label: str):
+    """Write ``df`` as Parquet into the shared folder and read it again.
+
+    The rows are computed once, however many branches follow, a lost executor costs no step before this one, and
+    Spark knows the size of what it reads.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df):
     """Write ``df`` once to the shared folder and go on from there, so that later branches read equal rows."""
     spark = df.sparkSession
