@@ -213,3 +213,16 @@ def test_bad_lines_empty_texts_and_bad_vectors_are_rejects(spark, rows, sites, t
     assert rows(tables.read("chunks"), "doc_id") == [("2",)]
     got = rows(tables.read("embed_rejects"), "id", "reason")
     assert [r[0] for r in got] == ["1", "3"] and got[0][1] == "empty text" and got[1][1].startswith("bad vector")
+
+
+def test_no_more_links_are_asked_for_than_may_wait(spark, rows, tmp_path):
+    tables = StageTables(spark, str(tmp_path / "t"))
+    queue = [(f"http://h.org/{i}", "h.org", 0, T0, T0) for i in range(6)]
+    tables.write("frontier", 0, spark.createDataFrame(queue, "url string, host string, depth int, created_at timestamp, updated_at timestamp"))
+    sites = spark.createDataFrame([("h.org", 3, 1.0)], "host string, depth int, interval_s double")
+    rules_table = spark.createDataFrame([], "host string, agent string, kind string, prefix string, section int, pos int")
+    run = crawl_batch(tables, sites, rules_table, now(), per_host=2, max_waiting=4)
+    for batch in range(4):
+        run(responses_none(spark), batch)
+    assert tables.waiting(4).count() == 4 and tables.frontier().count() == 2
+    assert rows(tables.counts().filter("table = 'asked'"), "batch_id", "rows") == [(0, 2), (1, 2)]

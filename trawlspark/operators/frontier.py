@@ -90,13 +90,14 @@ def pace_schedule(
     """
     rows = frontier.withColumn("host", url_host("url")) if "host" not in frontier.columns else frontier
     order = [F.col("created_at"), F.col("url_id")]
+    # Hosts out of scope are left behind before anything is numbered or stored.
+    timed = rows.join(sites.select("host", "interval_s"), "host")
     if max_per_host is None:
-        ranked = row_number_within(rows, ["host"], order, "_slot")
+        ranked = row_number_within(timed, ["host"], order, "_slot")
     else:
-        ranked = rows.withColumn("_slot", F.row_number().over(Window.partitionBy("host").orderBy(*order)))
-    timed = ranked.join(sites.select("host", "interval_s"), "host")
+        ranked = timed.withColumn("_slot", F.row_number().over(Window.partitionBy("host").orderBy(*order)))
     wait = (F.col("_slot") * F.col("interval_s") * 1000000).cast("bigint")
-    return timed.withColumn("fetch_at", F.timestamp_micros(F.unix_micros(start) + wait)).drop("_slot", "interval_s")
+    return ranked.withColumn("fetch_at", F.timestamp_micros(F.unix_micros(start) + wait)).drop("_slot", "interval_s")
 
 
 def admit(

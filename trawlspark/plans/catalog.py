@@ -14,6 +14,7 @@ from ..functions.tokens import token_array, token_count, truncate_tokens
 from ..operators import arrays, chunks, documents, embed, frontier, kv, pages, robots, search, sites, snippets
 from ..session import configure, fresh_dir
 from ..sources import messages
+from ..sources.queues import read_ids, write_ids
 from ..sources.tables import create_tables, drop_tables
 from ..streaming import rules
 from ..streaming.stages import StageTables, start_crawl, start_embed, start_parse
@@ -535,7 +536,7 @@ def cascade_delete(i):
 
 @_query
 def table_lifecycle(i):
-    """Create, fill, upsert, delete with cascade, count, drop."""
+    """Create, fill, upsert, delete with cascade, read, drop."""
     spark = i.spark
     home = fresh_dir(spark, "tables")
     db = "trawl_" + home[-12:]
@@ -547,10 +548,10 @@ def table_lifecycle(i):
     tables.append_links(i.links().select("url", "host", "depth"), t0())
     tables.append_links(i.links().select("url", "host", "depth"), t0())
     tables.delete_documents(new.filter(F.col("doc_id") == "3"))
-    report = None
-    for name in ("frontier", "documents", "chunks"):
-        row = tables.read(name).groupBy(F.lit(name).alias("name")).agg(F.count(F.lit(1)).alias("n_rows"))
-        report = row if report is None else report.unionByName(row)
+    shown = {"frontier": F.col("url"), "documents": F.md5("content"), "chunks": F.col("doc_id")}
+    ids = {"frontier": F.col("host"), "documents": F.col("doc_id"), "chunks": F.col("chunk_id")}
+    parts = [tables.read(n).select(F.lit(n).alias("name"), ids[n].alias("id"), shown[n].alias("detail")) for n in shown]
+    report = parts[0].unionByName(parts[1]).unionByName(parts[2])
     path = fresh_dir(spark, "report")
     report.write.parquet(path)
     drop_tables(spark, db)
@@ -644,6 +645,16 @@ def hash_embed_docs(i):
     return spread.select("doc_id", _long("pos"), F.round(F.col("x") * F.col("n")).cast("bigint").alias("n_tokens"))
 
 
+@_query
+def hash_embed_first(i):
+    """Another configuration of the model: 32 dimensions, vector of the first token."""
+    cfg = embed.EmbedConfig(dims=32, mean_pooling=False, normalize=True)
+    rows = embed.embed_column(i.clean_documents().filter("content != ''"), "content", cfg)
+    return rows.select("doc_id", F.posexplode("embedding").alias("pos", "x")).filter("x != 0").select(
+        "doc_id", _long("pos"), F.col("x").cast("double").alias("x")
+    )
+
+
 @_query
 def embed_queries(i):
     """Short texts; empty ones are turned away."""
@@ -700,6 +711,15 @@ def _event_stream(i: Inputs) -> DataFrame:
     return i.stream("events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+@_query
+def queue_roundtrip(i):
+    """Ids through the folder queue."""
+    queue = fresh_dir(i.spark, "queue")
+    write_ids(i.events().select(F.col("event_id").cast("string").alias("id"), F.col("ts").alias("event_time")), queue)
+    got = _drained(i, read_ids(i.spark, queue), "queue")
+    return got.select("id", F.unix_micros("event_time").alias("event_us"))
+
+
 @_query
 def stream_visited_dedup(i):
     seen = _event_stream(i).select(F.col("user_id").alias("url"), "ts")

@@ -19,7 +19,7 @@ class CrawlRound(NamedTuple):
     judged: DataFrame  # dequeued rows with ok and reason
     messages: DataFrame  # (id, message) for the parser
     visits: DataFrame  # (url, visited_at) to add
-    errors: DataFrame  # responses with an unreadable type
+    errors: DataFrame  # responses with an unreadable type, without body
     failed: DataFrame  # admitted rows without a response
     frontier: DataFrame  # rows that stay, rate-limited ones included
 
@@ -42,8 +42,9 @@ def crawl_round(
     taken, rest = dequeue(frontier, sites, batch)
     judged = durable(admit(taken, sites, rules, visited, as_of, agent, round_s, max_per_host=batch))
     admitted = judged.filter("ok").select("url", "depth")
-    fetched = admitted.join(responses, "url")
-    pages, seen, errors = gate_content_type(fetched)
+    # Bodies are joined for pages alone; the other outputs need the header of an answer only.
+    pages = gate_content_type(responses)[0].join(admitted, "url")
+    _, seen, errors = gate_content_type(admitted.join(responses.drop("body"), "url"))
     deferred = judged.filter(F.col("reason") == TOO_FAST).select(*frontier.columns)
     return CrawlRound(
         judged,

@@ -355,9 +355,9 @@ def oracle_sql() -> dict[str, str]:
     q["orphan_chunks"] = _sql("SELECT chunk_id, doc_id FROM chunk_null WHERE doc_id % 10 = 3", "chunk_null")
     q["cascade_delete"] = _sql("""SELECT 'document' AS kind, doc_id AS id FROM documents WHERE doc_id % 10 <> 3
         UNION ALL SELECT 'chunk', chunk_id FROM chunk WHERE doc_id % 10 <> 3""", "chunk")
-    q["table_lifecycle"] = _sql("""SELECT 'frontier' AS name, count(DISTINCT url) AS n_rows FROM links
-        UNION ALL SELECT 'documents', count(*) FROM documents WHERE doc_id <> 3
-        UNION ALL SELECT 'chunks', count(*) FROM chunk WHERE doc_id <> 3""", "links", "chunk")
+    q["table_lifecycle"] = _sql("""SELECT DISTINCT 'frontier' AS name, host AS id, url AS detail FROM linked
+        UNION ALL SELECT 'documents', doc_id::VARCHAR, md5(text) FROM documents WHERE doc_id <> 3
+        UNION ALL SELECT 'chunks', chunk_id::VARCHAR, doc_id::VARCHAR FROM chunk WHERE doc_id <> 3""", "linked", "chunk")
     q["parse_pages"] = _sql(f"""SELECT 'document' AS kind, url, md5(content) AS detail FROM page_docs
         UNION ALL SELECT 'link', url, min(depth)::VARCHAR FROM linked WHERE host IN (SELECT host FROM sites)
             AND url NOT IN (SELECT url FROM frontier) GROUP BY url""", "page_docs", "linked", "sites", "frontier")
@@ -383,6 +383,9 @@ def oracle_sql() -> dict[str, str]:
     q["cls_pool"] = f"""SELECT label, pos, round(x::DOUBLE, 6) AS x FROM ({flat.format(key='label', v='v',
         src='(SELECT label, arg_min(embedding, vec_id) AS v FROM embeddings GROUP BY label)')})"""
     q["hash_embed_docs"] = _sql("SELECT doc_id, bucket AS pos, n AS n_tokens FROM buckets", "buckets")
+    q["hash_embed_first"] = _sql("""SELECT doc_id, ('0x' || substr(md5(lower(coalesce(token, '[sep]'))), 1, 8))::BIGINT % 32 AS pos,
+        1.0::DOUBLE AS x FROM clean_docs LEFT JOIN (SELECT doc_id, token FROM spans0 WHERE pos = 1) USING (doc_id)
+        WHERE content <> ''""", "clean_docs", "spans0")
     q["embed_queries"] = f"""SELECT doc_id, CASE WHEN ok THEN 1.0::DOUBLE END AS norm, CASE WHEN ok THEN 'ok' ELSE 'empty text' END
         AS reason FROM (SELECT doc_id, doc_id % 9 <> 4 AND {_first_words(_clean('text'), 5)} <> '' AS ok FROM documents)"""
     q["index_documents"] = _sql("""SELECT s.doc_id, chunk_start, chunk_end, coalesce(n_slots, 1) AS n_slots,
@@ -393,6 +396,7 @@ def oracle_sql() -> dict[str, str]:
         coalesce(string_agg(chunk_start::VARCHAR, ',' ORDER BY chunk_id), '') AS starts FROM chunk GROUP BY doc_id""", "chunk")
     q["unnest_zip"] = _sql("SELECT doc_id, chunk_id, chunk_start, chunk_end FROM chunk", "chunk")
 
+    q["queue_roundtrip"] = "SELECT event_id::VARCHAR AS id, epoch_us(ts) AS event_us FROM events"
     q["stream_visited_dedup"] = "SELECT DISTINCT user_id AS url FROM events"
     chain = """WITH RECURSIVE e AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
             FROM events),

@@ -11,6 +11,7 @@ from ..operators.documents import delete_documents, orphan_chunks, upsert_docume
 from ..operators.embed import check_chunks
 from ..operators.frontier import enqueue_links
 from ..schemas import CHUNKS, DOCUMENTS, FRONTIER
+from ..session import fresh_dir
 
 TABLES = {"frontier": FRONTIER, "documents": DOCUMENTS, "chunks": CHUNKS}
 _BUCKET_KEY = {"frontier": "host", "documents": "doc_id", "chunks": "doc_id"}
@@ -70,27 +71,33 @@ class Tables:
         self.append("frontier", fresh.withColumn("url_id", F.monotonically_increasing_id() + F.lit(base)))
 
     def append_chunks(self, chunks: DataFrame, dims: int) -> None:
-        """Bulk append: vectors are checked, and a chunk of an unknown document fails the write."""
-        known = self.documents.select("doc_id", F.lit(True).alias("_known"))
-        error = F.raise_error(F.concat(F.lit("no document for chunk "), F.col("chunk_id"))).cast("string")
-        orphan = F.col("_known").isNull() & F.col("doc_id").isNotNull()
-        checked = check_chunks(chunks, dims).join(known, "doc_id", "left")
-        self.append("chunks", checked.withColumn("doc_id", F.when(orphan, error).otherwise(F.col("doc_id"))))
+        """Bulk append: vectors are checked, and a chunk of an unknown document fails the write.
+
+        The test compares ids; the vectors are written where they lie.
+        """
+        ids = chunks.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+        lost = ids.join(self.documents.select("doc_id"), "doc_id", "left_anti").first()
+        if lost is not None:
+            raise ValueError(f"no document {lost['doc_id']} for a chunk")
+        self.append("chunks", check_chunks(chunks, dims))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """New table state. It is complete under another name before the old one goes, so ``df`` may read the old.
+        """New table state. It is complete in a folder of its own before the table's location moves there in one step,
+        so ``df`` may read the old state and a crash leaves either state, never none.
 
         Documents are laid out by doc_id: a lookup of a page's ids then skips nearly all row groups.
         """
         staged, key = f"{self.db}.{name}__next", _BUCKET_KEY[name]
+        home = fresh_dir(self.spark, name)
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        self.spark.sql(f"CREATE TABLE {staged} LIKE {self.db}.{name}")
+        self.spark.sql(f"CREATE TABLE {staged} LIKE {self.db}.{name} LOCATION '{home}'")
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields])
         if name == "documents":
             rows = rows.repartitionByRange(key).sortWithinPartitions(key)
         rows.write.insertInto(staged)
-        self.spark.sql(f"DROP TABLE {self.db}.{name}")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.db}.{name}")
+        self.spark.sql(f"ALTER TABLE {self.db}.{name} SET LOCATION '{home}'")
+        self.spark.sql(f"DROP TABLE {staged}")  # the name only: its folder is the table's now
+        self.spark.catalog.refreshTable(f"{self.db}.{name}")
 
     def upsert_documents(self, new: DataFrame, as_of: Column, conflict_content: str = "new") -> None:
         table, _ = upsert_documents(self.documents, new, as_of, conflict_content)

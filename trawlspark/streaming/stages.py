@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -106,6 +107,14 @@ class StageTables:
         early = self.read("early", batch).withColumnRenamed("batch_id", "arrived")
         return early.join(self.read("spent", batch).select("url", "arrived"), ["url", "arrived"], "left_anti")
 
+    def counts(self) -> DataFrame:
+        """(table, batch_id, rows): what each trigger wrote, rejects included; read from the files' footers."""
+        each = [
+            self.read(n).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "batch_id", "rows")
+            for n in self._SCHEMAS if not n.endswith("_times")
+        ]
+        return reduce(DataFrame.unionAll, each)
+
     def messages(self) -> DataFrame:
         """Stream of the page messages as JSON (message); the parse stage decodes them and rejects bad ones."""
         lines = self.spark.readStream.schema(_MESSAGES).option("recursiveFileLookup", "true").parquet(self.path("messages"))
@@ -173,7 +182,7 @@ def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column | None = No
 
 def crawl_batch(
     tables: StageTables, sites: DataFrame, rules: DataFrame, as_of: Column | None = None, agent: str = DEFAULT_AGENT,
-    per_host: int = BATCH_PER_HOST, round_s: float | None = None, answer_ttl: str = VISIT_TTL,
+    per_host: int = BATCH_PER_HOST, round_s: float | None = None, answer_ttl: str = VISIT_TTL, max_waiting: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function of one crawl round.
 
@@ -181,13 +190,16 @@ def crawl_batch(
     for. Answers (url, status, content_type, body) of this or any later trigger are joined to that list and become
     messages and visits; the first answer of a URL counts. An answer whose link still queues is held until its round.
     Rejected, with a reason: answers nobody asked for, further answers, unreadable types, and links without an answer
-    for ``answer_ttl``. So every answer is a page, a visit, held, or a reject.
+    for ``answer_ttl``. So every answer is a page, a visit, held, or a reject. With ``max_waiting`` a round asks for
+    nothing while so many links wait for an answer.
     """
     given = as_of
 
     def run(responses: DataFrame, batch: int) -> None:
         as_of = tables.time("crawl", batch, given)
         queue = tables.frontier(taken_before=batch).withColumn("url_id", F.col("url"))
+        if max_waiting is not None and tables.waiting(batch - 1).limit(max_waiting).count() >= max_waiting:
+            queue = queue.limit(0)
         taken, _ = dequeue(queue, sites, per_host)
         judged = durable(admit(taken, sites, rules, tables.read("visits", batch), as_of, agent, round_s, max_per_host=per_host))
         tables.write("taken", batch, queue.join(_left(queue, sites, per_host, judged), ["url", "added"], "left_semi"))
