@@ -74,7 +74,7 @@ def quality_rules(
     repeat_percent: int = 30,
     min_line_docs: int = 20,
     line_share: float = 0.01,
-    min_left: float = 0.5,
+    min_left: float = 0.25,
     host: str = "source",
     text: str = "text",
 ) -> DataFrame:
@@ -152,5 +152,5 @@ a AS (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(wor
       FROM d JOIN w USING (rid) LEFT JOIN u USING (rid) LEFT JOIN c USING (rid) LEFT JOIN x USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND n_words - cut >= 0.5::DOUBLE * n_words AS kept, n_words - cut AS n_left_words FROM b
+    NOT base_failed AND n_words - cut >= 0.25::DOUBLE * n_words AS kept, n_words - cut AS n_left_words FROM b
 """
