@@ -226,3 +226,17 @@ def test_no_more_links_are_asked_for_than_may_wait(spark, rows, tmp_path):
         run(responses_none(spark), batch)
     assert tables.waiting(4).count() == 4 and tables.frontier().count() == 2
     assert rows(tables.counts().filter("table = 'asked'"), "batch_id", "rows") == [(0, 2), (1, 2)]
+
+
+def test_compacted_logs_read_the_same(spark, rows, sites, tmp_path):
+    tables = StageTables(spark, str(tmp_path / "t"))
+    run = parse_batch(tables, sites, now())
+    for batch, (text, url) in enumerate([("one", "1"), ("two", "1"), ("three", "2")]):
+        run(spark.createDataFrame([(f"m{batch}", page(text), 0, f"http://h.org/{url}")], MESSAGE), batch)
+    before = rows(tables.documents())
+    for _ in range(2):
+        tables.compact("documents", 2)
+        assert rows(tables.documents()) == before and tables.read("documents").count() == 2
+    run(spark.createDataFrame([("m4", page("four"), 0, "http://h.org/1")], MESSAGE), 3)
+    after = {r["url"]: r for r in tables.documents().collect()}
+    assert after["http://h.org/1"]["content"] == "T four" and after["http://h.org/1"]["doc_id"] in {r[0] for r in before}

@@ -26,7 +26,7 @@ from ..operators.robots import DEFAULT_AGENT
 from ..plans.index import index_documents
 from ..plans.parse import document_rows, read_pages
 from ..schemas import CHUNKS, DOCUMENTS, FRONTIER, QUEUE_MESSAGE
-from ..session import durable
+from ..session import durable, stored
 from ..sources.messages import read_messages, to_messages
 from ..sources.queues import write_ids
 
@@ -133,6 +133,24 @@ class StageTables:
         current = log.groupBy("url").agg(first.alias("f"), last.alias("l"))
         return current.select("f.doc_id", "url", "l.content", "f.title", "f.created_at", "l.updated_at")
 
+    def compact(self, name: str, upto: int) -> None:
+        """Merge the batches up to one into that one: one row per URL of the documents or visits; between triggers.
+
+        The merged rows are complete in their place before the older batches are emptied. After a crash in between
+        both are there, which reads the same, and the call can be repeated.
+        """
+        if name == "documents":
+            merged = self.documents(upto + 1)
+        elif name == "visits":
+            merged = self.read(name, upto + 1).groupBy("url").agg(F.max("visited_at").alias("visited_at"))
+        else:
+            raise ValueError("only documents and visits have one row per URL")
+        older = [r[0] for r in self.read(name, upto).select("batch_id").distinct().collect()]
+        merged = stored(merged, "compact")
+        self.write(name, upto, merged)
+        for batch in older:
+            self.write(name, batch, merged.limit(0))
+
 
 def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: messages → documents, links, document ids, rejects.
