@@ -50,12 +50,12 @@ class PassageIndex:
 
     TABLE_BITS = 22
 
-    def __init__(self, ids: list[int], texts: list[str], rate: float):
-        self.ids, self.rate = np.array(ids, np.int64), rate
+    def __init__(self, ids: list[int], texts: list[str], rate: float, accept: float):
+        self.ids = np.array(ids, np.int64)
         data, offsets = normal(pa.array(texts, pa.string()))
         self.items = [data[a : b - 1] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         self.length = np.array([len(x) for x in self.items], np.int64)
-        self.edits = edit_budget(self.length, rate)
+        self.edits, self.budget = edit_budget(self.length, rate), edit_budget(self.length, accept)
         # q-gram lemma: with e edits at least this many of the item's q-grams stay, on diagonals at most e apart.
         self.least = np.maximum(1, self.length - Q + 1 - Q * self.edits)
         self.half = np.maximum(1, self.edits)  # of a band
@@ -106,11 +106,11 @@ class PassageIndex:
         return np.concatenate(out_item), np.concatenate(out_low)
 
     def verify(self, data: np.ndarray, item: int, low: int, begin: int, end: int) -> tuple[int, int, int] | None:
-        """(edits, start, end) of the item's best alignment whose diagonals lie in the band around ``low``, if in budget.
+        """(edits, start, end) of the item's best alignment in the band from diagonal ``low`` on, if it is accepted.
 
         Banded dynamic programming over the item's characters; the start and end inside [begin, end) are free.
         """
-        pattern, budget = self.items[item], int(self.edits[item])
+        pattern, budget = self.items[item], int(self.budget[item])
         left = max(begin, low - budget)
         right = min(end, low + 2 * int(self.half[item]) + len(pattern) + budget)
         whole = data[left:right].tobytes().find(pattern.tobytes())
@@ -151,8 +151,8 @@ class PassageIndex:
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for item, low in sorted(set(zip(*(x.tolist() for x in self.regions(data)), strict=True))):
             # A band may touch the end of one text and the start of the next.
-            first = int(np.searchsorted(offsets, max(low - int(self.edits[item]), 0), "right")) - 1
-            last = int(np.searchsorted(offsets, low + int(2 * self.half[item] + self.length[item] + self.edits[item]), "left"))
+            first = int(np.searchsorted(offsets, max(low - int(self.budget[item]), 0), "right")) - 1
+            last = int(np.searchsorted(offsets, low + int(2 * self.half[item] + self.length[item] + self.budget[item]), "left"))
             for doc in range(max(0, first), min(last, len(offsets) - 1)):
                 found = self.verify(data, item, low, int(offsets[doc]), int(offsets[doc + 1]) - 1)
                 if found:
@@ -172,6 +172,7 @@ def find_passages(
     docs: DataFrame,
     benchmark: DataFrame,
     rate: float = 0.1,
+    accept: float = 0.2,
     min_chars: int = 40,
     block_bytes: int = 1_000_000,
     text: str = "text",
@@ -180,7 +181,8 @@ def find_passages(
     """(doc_id, item_id, edits, start, end): the best occurrence of each benchmark item in each document.
 
     Texts are compared in a normal form (A-Z in lower case, other ASCII marks and white space as single blanks), in
-    which start and end count bytes. An occurrence is a passage within ``rate`` edits per byte of the item. Items are
+    which start and end count bytes. A passage within ``rate`` edits per byte of the item is always found; one within
+    ``accept`` is found if it still shares the q-grams of a band, as when whole words were replaced. Items are
     held in blocks of about ``block_bytes`` in every task; each block is one pass over the documents, so the benchmark
     may have any size and what a task holds is bounded. Items shorter than ``min_chars`` bytes are too common to prove
     anything and are skipped, like null ones. Null and empty documents hold nothing. Repeated rows and items come out
@@ -189,7 +191,7 @@ def find_passages(
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id bigint, item_id bigint, edits int, start bigint, end bigint"
     found = None
-    for index in _blocks(benchmark, rate, min_chars, block_bytes, item_text):
+    for index in _blocks(benchmark, rate, accept, min_chars, block_bytes, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(index)  # about block_bytes of text at most
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -207,7 +209,9 @@ def find_passages(
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _blocks(benchmark: DataFrame, rate: float, min_chars: int, block_bytes: int, item_text: str) -> Iterator[PassageIndex]:
+def _blocks(
+    benchmark: DataFrame, rate: float, accept: float, min_chars: int, block_bytes: int, item_text: str
+) -> Iterator[PassageIndex]:
     """Indexes over the items, block by block, in the order of their ids."""
     items = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col(item_text).cast("string").alias("text")
@@ -219,7 +223,7 @@ def _blocks(benchmark: DataFrame, rate: float, min_chars: int, block_bytes: int,
     for k in range(n):
         rows = (items.filter(F.col("block") == k) if n > 1 else items).orderBy("item_id", "text").collect()
         texts = [(r["item_id"], r["text"]) for r in rows if r["item_id"] is not None]
-        yield PassageIndex([i for i, _ in texts], [t for _, t in texts], rate)
+        yield PassageIndex([i for i, _ in texts], [t for _, t in texts], rate, accept)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -229,7 +233,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """
     at = docs.columns.index(text)
     kept = docs.withColumn(text, F.col(text).cast("string"))
-    settings = {"rate": 0.1, "min_chars": 40, "block_bytes": 1_000_000, "item_text": "text", **options}
+    settings = {"rate": 0.1, "accept": 0.2, "min_chars": 40, "block_bytes": 1_000_000, "item_text": "text", **options}
     for index in _blocks(benchmark, **settings):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -35,10 +35,10 @@ NOISE_TAGS = RAW | set(
 )
 NOISE_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NOISE_WORDS = set(
-    "ad ads adsense advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
+    "ad ads adsense advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus "
     "footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "promotion recommended recommendations related replies reply respond share sharing sidebar signup social sponsor "
-    "sponsored subscribe subscription toolbar widget widgets".split()
+    "sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?|[^=>])*+)>"
