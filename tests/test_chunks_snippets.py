@@ -100,7 +100,7 @@ def test_counts_and_limits(spark):
     cut = df.select(truncate_tokens(token_array(F.col("t")), 4), truncate_tokens(token_array(F.col("t")), 2, False)).first()
     assert list(cut) == [["a", "b"], ["a", "b"]]
     ok, long = chunks.check_length(df, "t", 4)
-    assert ok.count() == 1 and long.first()["reason"] == "expected 4 tokens, got 5 tokens"
+    assert ok.count() == 1 and long.first()["reason"] == "5 tokens, the model takes 4"
 
 
 # --- snippets -----------------------------------------------------------------------------------------------------------

@@ -149,7 +149,7 @@ def test_embed_texts(spark):
     assert sorted(r["n"] for r in good.collect()) == [1, 3] and sorted(r["n"] for r in bad.collect()) == [2, 4]
     strict, turned = embed.embed_texts(df, cfg=embed.EmbedConfig(truncate=False))
     assert [r["n"] for r in strict.collect()] == [1]
-    assert {r["n"]: r["reason"] for r in turned.collect()}[3] == "expected 512 tokens, got 602 tokens"
+    assert {r["n"]: r["reason"] for r in turned.collect()}[3] == "602 tokens, the model takes 512"
 
 
 @pytest.mark.parametrize(("mean", "norm"), [(True, False), (True, True), (False, False)])

@@ -57,7 +57,7 @@ def test_parse_stage_keeps_identity_over_batches(spark, rows, sites, tmp_path):
     log = tables.read("documents").filter("url = 'http://h.org/1'")
     assert log.count() == 2 and log.select("doc_id").distinct().count() == 1
     assert rows(tables.read("frontier"), "url", "depth") == [("http://h.org/a", 1), ("http://h.org/b", 2)]
-    assert rows(tables.read("rejects"), "id", "reason") == [("", "empty id"), ("m2", "body not found")]
+    assert rows(tables.read("rejects"), "id", "reason") == [("", "empty id"), ("m2", "page without body text")]
     assert tables.read("doc_ids").count() == 3
 
 

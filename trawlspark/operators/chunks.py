@@ -51,7 +51,7 @@ def check_length(
     # A generator is no target for filter pushdown, so the tokens are counted once and not once per use.
     counted = df.select("*", F.explode(F.array(token_count(F.col(text), add_special))).alias("n_tokens"))
     over = F.col("n_tokens") > max_tokens
-    reason = F.format_string("expected %d tokens, got %d tokens", F.lit(max_tokens), F.col("n_tokens"))
+    reason = F.format_string("%d tokens, the model takes %d", F.col("n_tokens"), F.lit(max_tokens))
     return counted.filter(~over), counted.filter(over).withColumn("reason", reason)
 
 

@@ -56,7 +56,7 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
 def split_empty(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ok, rejected): a page whose body text is exactly empty gives neither a document nor links."""
     empty = F.coalesce(F.col("body") == "", F.lit(True))
-    return extracted.filter(~empty), extracted.filter(empty).withColumn("reason", F.lit("body not found"))
+    return extracted.filter(~empty), extracted.filter(empty).withColumn("reason", F.lit("page without body text"))
 
 
 def page_content(extracted: DataFrame) -> DataFrame:

@@ -268,7 +268,7 @@ def oracle_sql() -> dict[str, str]:
     q["page_links"] = _sql("SELECT page_id, pos, href FROM hrefs", "hrefs")
     q["resolved_links"] = _sql("SELECT page_id, pos, url FROM links", "links")
     q["empty_body_rejects"] = _sql(
-        "SELECT page_id, title, 'body not found' AS reason FROM page_docs WHERE page_id % 10 = 0", "page_docs")
+        "SELECT page_id, title, 'page without body text' AS reason FROM page_docs WHERE page_id % 10 = 0", "page_docs")
     q["invalid_inputs"] = """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'empty id' WHEN doc_id % 7 = 0 THEN 'empty text'
         WHEN doc_id % 13 = 0 THEN 'document not found' ELSE 'empty text' END AS reason FROM documents
         WHERE doc_id % 11 = 0 OR doc_id % 7 = 0 OR doc_id % 13 = 0 OR text = ''"""
@@ -365,7 +365,7 @@ def oracle_sql() -> dict[str, str]:
     q["token_counts"] = _sql("""SELECT d.doc_id, count(p.doc_id) + 2 AS n_tokens FROM clean_docs d LEFT JOIN pieces p
         USING (doc_id) GROUP BY d.doc_id""", "clean_docs", "pieces")
     q["length_check"] = _sql(
-        "SELECT doc_id, 'expected 512 tokens, got ' || n || ' tokens' AS reason FROM n_tok WHERE n > 512", "n_tok")
+        "SELECT doc_id, n || ' tokens, the model takes 512' AS reason FROM n_tok WHERE n > 512", "n_tok")
     q["truncate_tokens"] = _sql("""SELECT d.doc_id, count(s.token) AS n_kept,
         md5(coalesce(string_agg(s.token, ' ' ORDER BY s.pos), '')) AS kept_md5
         FROM clean_docs d LEFT JOIN spans0 s ON s.doc_id = d.doc_id AND s.pos <= 510 GROUP BY d.doc_id""", "clean_docs", "spans0")
@@ -415,7 +415,7 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'not asked for', url FROM taken6 WHERE NOT ok
         UNION ALL SELECT o, url FROM frontier, (VALUES ('held'), ('frontier')) x(o) WHERE url_id NOT IN (SELECT url_id FROM taken6)""", "taken6")
     q["stream_parse"] = _sql("""SELECT url, title, content FROM page_docs WHERE page_id % 10 NOT IN (3, 6)
-        UNION ALL SELECT CASE WHEN page_id % 10 = 6 THEN 'u' END, NULL, CASE page_id % 10 WHEN 6 THEN 'body not found' ELSE 'bad message' END
+        UNION ALL SELECT CASE WHEN page_id % 10 = 6 THEN 'u' END, NULL, CASE page_id % 10 WHEN 6 THEN 'page without body text' ELSE 'bad message' END
         FROM pages WHERE page_id % 10 IN (3, 6)""", "page_docs")
     q["stream_embed"] = _sql("SELECT doc_id, chunk_start, chunk_end FROM spans", "spans")
     return q
