@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
+from ..session import stored as stored
 
 # White space between words, as Java and Python patterns read it; every other character belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,16 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it again.
-
-    The rows are computed once, however many branches follow, and a lost executor costs no step before this one.
-    """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also where a lambda inside ``body`` uses it for every element."""
     return F.element_at(F.transform(F.array(value), body), 1)
