@@ -116,6 +116,9 @@ def test_tables(spark, rows, tmp_path, buckets):
     tables.upsert_documents(doc, F.lit(T0))
     tables.upsert_documents(doc.limit(1).withColumn("content", F.lit("n")), F.lit(T1))
     assert tables.document("1").first()["content"] == "n" and tables.documents.count() == 2
+    touched = tables.parts_of("documents", doc.limit(1))
+    plan = tables.read("documents", touched)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "part#" in plan and len(touched) == 1
     chunk = spark.createDataFrame([("x", "1", 0, 4, [1.0, 0.0]), ("y", "2", 0, 4, [1.0, 1.0])],
                                   "chunk_id string, doc_id string, chunk_start long, chunk_end long, embedding array<float>")
     stamped = chunk.withColumns({"created_at": F.lit(T0), "updated_at": F.lit(T0)})

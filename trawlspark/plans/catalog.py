@@ -540,7 +540,7 @@ def table_lifecycle(i):
     spark = i.spark
     home = fresh_dir(spark, "tables")
     db = "trawl_" + home[-12:]
-    tables = create_tables(spark, db, home)
+    tables = create_tables(spark, db, home, parts=8)
     new = i.documents().withColumn("doc_id", F.col("doc_id").cast("string"))
     tables.upsert_documents(new, t0())
     vectors_table = i.chunks().withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("chunk_id", F.col("chunk_id").cast("string"))

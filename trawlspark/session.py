@@ -24,9 +24,11 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the run-time settings of the package on an existing session."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+    """Set the run-time settings of the package on a session, once; what the caller changes afterwards stays."""
+    mark = "spark.trawlspark.configured"
+    if spark.conf.get(mark, None) is None:
+        for key, value in {**RUNTIME_CONF, mark: "true"}.items():
+            spark.conf.set(key, value)
     return spark
 
 
