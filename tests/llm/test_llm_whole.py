@@ -2,10 +2,12 @@
 
 import random
 
-from trawlspark.llm import passages
-
+import pytest
+from pyspark.sql import functions as F
 from test_llm_methods import story
 
+from trawlspark.llm import mixing, passages
+
 
 # --- 2 passages ----------------------------------------------------------------------------------------------------
 
@@ -28,3 +30,16 @@ def test_parts_of_a_failing_chain(spark):
         (4, 3, "passage", 25, 77, 40, 92, 52, 52),
         (4, 3, "passage", 137, 189, 92, 144, 52, 52),
     ]
+
+
+# --- 1 mixing ------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_long_document_leaves_no_gap(spark, seed):
+    rows = [(0, "a", "w " * 20_000)] + [(i, "a", "w " * 20) for i in range(1, 1001)]
+    rows += [(2000 + i, "b", "w " * 10) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix_sources(df, seed=seed, shards=4).groupBy("source").agg(F.sum("taken"), F.max("target")).collect()
+    assert all(abs(taken - target) <= 10 for _, taken, target in got)
+    assert mixing.fill([20_000, 20, 0, 30, 20], 50) == [False, True, False, True, False]

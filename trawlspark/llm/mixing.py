@@ -90,6 +90,31 @@ def shard_quotas(totals: DataFrame, shards: int, seed: int) -> DataFrame:
     return pairs.select(F.col("q.nos").alias("source_no"), "shard", F.col("q.quotas").alias("n"))
 
 
+NUMBERED = (
+    "source_no int, source string, source_size bigint, target double, full int, rest double, block int, words bigint, "
+    "pass int, turn bigint, drawn boolean"
+)
+
+
+def fill(words: list[int], rest: float) -> list[bool]:
+    """Which of the blocks, in their order, are taken so that their words stay within ``rest``; empty ones are not."""
+    out = []
+    for n in words:
+        fits = 0 < n <= rest
+        rest -= n if fits else 0
+        out.append(fits)
+    return out
+
+
+def _draw_pass(rows: pa.Table) -> pa.Table:
+    """Blocks of one pass over one source in their drawn order, with number and whether they are read."""
+    rows = rows.sort_by([("mark", "ascending"), ("block", "ascending")]).drop_columns(["mark"])
+    number, full, rest = (rows.column(c)[0].as_py() for c in ("pass", "full", "rest"))
+    drawn = [True] * len(rows) if number < full else fill(rows.column("words").to_pylist(), rest)
+    turn = pa.array(number * len(rows) + np.arange(len(rows)), pa.int64())
+    return rows.append_column("turn", turn).append_column("drawn", pa.array(drawn, pa.bool_()))
+
+
 def mix_sources(
     docs: DataFrame, seed: int = 7, blocks: int = 4096, shards: int = 64, source: str = "source", text: str = "text"
 ) -> DataFrame:
@@ -97,8 +122,9 @@ def mix_sources(
 
     ``draws`` lists the (pass, shard) pairs in which the mix reads the document, ``taken`` its words times their
     number, at most three times its size. Documents fall into ``blocks`` blocks per source by a hash of their id. A
-    target is so many whole passes over the source's blocks plus the first blocks of one more pass, in an order drawn
-    anew for each pass, while they fit; one closing document, the one whose size comes nearest, fills the gap. The
+    target is so many whole passes over the source's blocks plus blocks of one more pass, in an order drawn anew for
+    each pass: each block that still fits is taken, others are passed over. One closing document, the one whose size
+    comes nearest, fills the gap. The
     splitting tree deals exact numbers of these block draws to the shards, and shard after shard takes the next blocks
     of the permuted order, so no two shards share a draw. Inside a shard ``shard_rows`` shuffles.
 
@@ -121,19 +147,15 @@ def mix_sources(
     full = F.when(F.col("source_size") > 0, passes).otherwise(0)
     goals = targets.withColumn("full", full).withColumn("rest", F.col("target") - F.col("full") * F.col("source_size"))
 
-    # Order of the blocks in each pass; the pass after the full ones stops before the rest is exceeded.
+    # Order of the blocks in each pass; the pass after the full ones takes every block that still fits the rest.
     b, g = filled.alias("b"), goals.alias("g")
     joined = b.join(g, F.col("b.source").eqNullSafe(F.col("g.source"))).select("g.*", "b.block", "b.words")
-    turns = joined.withColumn("pass", F.explode(F.sequence(F.lit(0), F.least(F.col("full"), F.lit(MAX_PASSES - 1)))))
-    one_pass = Window.partitionBy("source_no", "pass").orderBy(F.xxhash64(F.lit(seed), "source_no", "pass", "block"), "block")
-    summed = turns.withColumn("place", F.row_number().over(one_pass)).withColumn(
-        "sum", F.sum("words").over(one_pass.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    per_pass = F.count(F.lit(1)).over(Window.partitionBy("source_no", "pass"))
-    taken = (F.col("pass") < F.col("full")) | ((F.col("sum") <= F.col("rest")) & (F.col("words") > 0) & (F.col("rest") > 0))
-    numbered = stored(
-        summed.withColumn("turn", F.col("pass") * per_pass + F.col("place") - 1).withColumn("drawn", taken), "turns"
-    )
+    turns = joined.select(
+        "source_no", "source", "source_size", "target", "full", "rest", "block", "words",
+        F.explode(F.sequence(F.lit(0), F.least(F.col("full"), F.lit(MAX_PASSES - 1)))).alias("pass"),
+    )
+    mark = F.xxhash64(F.lit(seed), "source_no", "pass", "block")
+    numbered = stored(turns.withColumn("mark", mark).groupBy("source_no", "pass").applyInArrow(_draw_pass, NUMBERED), "turns")
     drawn = numbered.filter("drawn")
     # Blocks left out (they have no words) would leave holes, so draws are numbered once more.
     draws = drawn.withColumn("turn", F.row_number().over(Window.partitionBy("source_no").orderBy("turn")) - 1)
