@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm_methods import story
 
-from trawlspark.llm import mixing, passages
+from trawlspark.llm import html, mixing, passages
 
 
 # --- 2 passages ----------------------------------------------------------------------------------------------------
@@ -43,3 +43,29 @@ def test_a_long_document_leaves_no_gap(spark, seed):
     got = mixing.mix_sources(df, seed=seed, shards=4).groupBy("source").agg(F.sum("taken"), F.max("target")).collect()
     assert all(abs(taken - target) <= 10 for _, taken, target in got)
     assert mixing.fill([20_000, 20, 0, 30, 20], 50) == [False, True, False, True, False]
+
+
+# --- 7 pages -------------------------------------------------------------------------------------------------------
+
+LONG = "A sentence of the article that goes on for quite some while, so that its density is high enough to be found. " * 3
+PARA = f"<p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-comments", "social-science", "contentWithSidebar", "widget", "notice-text"])
+def test_names_of_wrappers_do_not_empty_a_page(name):
+    for tag in ("div", "main", "article"):
+        page = f'<body><div class="left-sidebar"><p>side</p></div><{tag} class="{name}" id="{name}">{PARA}<div class="cookieNotice">c</div></{tag}></body>'
+        assert html.extract_text(page) == LONG.strip()
+    noise = ("sidebar", "site-footer", "comment-list", "related-posts", "adBox")
+    page = "<body>" + PARA + "".join(f'<div class="{n}">other words</div>' for n in noise) + "</body>"
+    assert html.extract_text(page) == LONG.strip()
+    page = f'<body><div class="post">{PARA}</div><div id="comments">{PARA.replace("article", "post") * 9}</div></body>'
+    assert html.extract_text(page) == LONG.strip()  # comments are none, however long
+
+
+def test_all_of_the_article_is_kept():
+    links = "".join(f'<li><a href="{i}">source number {i}</a></li>' for i in range(4))
+    got = html.extract_text(f"<body><article>{PARA}<ul>{links}</ul></article></body>")
+    assert got.split("\n") == [LONG.strip(), *(f"source number {i}" for i in range(4))]
+    page = f"<body><div>{PARA * 3}</div><div>{LONG}</div><table><tr><td>{LONG}</td></tr></table><div><a href='x'>more</a></div></body>"
+    assert html.extract_text(page).split("\n") == [LONG.strip()] * 5

@@ -29,7 +29,7 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 
-# Parts of a page that are not its article: by element, by role, and by words in class and id.
+# Parts of a page that are not its article: by element, by role, and by names in class and id.
 NOISE_TAGS = RAW | set(
     "aside audio button canvas datalist dialog footer form head menu nav noscript object picture select svg template video".split()
 )
@@ -40,6 +40,14 @@ NOISE_WORDS = set(
     "promotion recommended recommendations related replies reply respond share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+COMMENT_WORDS = set("comment comments disqus replies reply respond".split())
+ARTICLE_NOISE = set("comment comments reply ad sponsored related".split())
+# Words at the end of a name that do not change what it names, and words of names that tell how a page is laid out.
+PART_WORDS = set(
+    "area bar block bottom box container form group holder inner item items left link links list outer panel post posts "
+    "right section slot top wrap wrapper".split()
+)
+LAYOUT_WORDS = set("col column columns content grid has layout no non not text with without".split())
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?|[^=>])*+)>"
     r"|<[/A-Za-z][^>]*(?:>|\Z)",
@@ -51,30 +59,57 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "tags", "link_chars", "links", "density", "inner")
+    __slots__ = ("tag", "parent", "children", "noise", "named", "chars", "tags", "link_chars", "links", "density", "inner")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool, named: bool = False):
+        self.tag, self.parent, self.noise, self.named = tag, parent, noise, named
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.links = 0
         self.density = self.inner = 0.0
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
+def names(value: str, words: set[str]) -> set[str]:
+    """The words of the set that a class or id list names something by.
+
+    A name counts by its last word that is not just a part ("left-sidebar", "comment-list"); names of a layout
+    ("has-sidebar") and names of other things ("social-science") do not.
+    """
+    out = set()
+    for name in value.split():
+        parts = [w.lower() for w in _WORDS.findall(name)]
+        while len(parts) > 1 and parts[-1] in PART_WORDS:
+            parts.pop()
+        if parts and parts[-1] in words and not LAYOUT_WORDS & set(parts):
+            out.add(parts[-1])
+    return out
+
+
+def _is_noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """(whether the element is noise, whether by a name that ``judge`` may overrule)."""
     if tag in NOISE_TAGS or tag == "header" and not in_article:
-        return True
+        return True, False
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return False, False
     found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
     found = {k: unescape(v) for k, v in found.items()} if "&" in attributes else found
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
+        return True, False
     if found.get("role", "").lower() in NOISE_ROLES:
-        return True
-    named = {w.lower() for w in _WORDS.findall(found.get("class", "") + " " + found.get("id", ""))}
-    if tag in ("article", "main"):
-        return bool(named & {"comment", "comments", "reply", "ad", "sponsored", "related"})
-    return bool(named & NOISE_WORDS) or "header" in named and not in_article
+        return True, False
+    words = ARTICLE_NOISE if tag in ("article", "main") else NOISE_WORDS if in_article else NOISE_WORDS | {"header"}
+    named = names(found.get("class", "") + " " + found.get("id", ""), words)
+    return bool(named), bool(named) and not named & COMMENT_WORDS
+
+
+def judge(nodes: list[Node]) -> None:
+    """Blocks that are noise by name alone but hold more than half of the page's text are left to their density."""
+    volume = {}
+    for node in reversed(nodes):
+        inside = (len(c.strip()) if isinstance(c, str) else volume[c] for c in node.children)
+        volume[node] = 0 if node.noise and not node.named else sum(inside)
+    for node in nodes:
+        own = node.noise and not (node.named and 2 * volume[node] > volume[nodes[0]])
+        node.noise = own or bool(node.parent and node.parent.noise)
 
 
 def parse(html: str) -> list[Node]:
@@ -105,7 +140,7 @@ def parse(html: str) -> list[Node]:
             _implied(open_nodes, *CLOSES[tag])
         parent = open_nodes[-1]
         inside = any(n.tag in ("article", "main") for n in open_nodes)
-        node = Node(tag, parent, parent.noise or _is_noise(tag, m[3], inside))
+        node = Node(tag, parent, *_is_noise(tag, m[3], inside))
         parent.children.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -116,6 +151,7 @@ def parse(html: str) -> list[Node]:
         elif tag not in VOID and tag in BLOCK | {"a", "b", "i", "em", "strong", "span"}:
             open_nodes.append(node)  # "/>" does not close these elements
     add_text(html[at:])
+    judge(nodes)
     return nodes
 
 
@@ -170,8 +206,8 @@ def main_nodes(nodes: list[Node]) -> list[Node]:
     """Roots of the article, in page order.
 
     The container with the greatest sum of child densities is the core; its article or main element, if it has one,
-    is the whole article. Otherwise parts beside the path from the core to the body join it if they hold paragraphs
-    and are as dense as the thinnest node of that path.
+    is the whole article. Otherwise parts beside the path from the core to the body join it if they are as dense as
+    the thinnest node of that path; a link alone is no part.
     """
     measure(nodes)
     choices = [n for n in nodes if n.tag in CONTAINERS and not n.noise and n.chars]
@@ -190,26 +226,11 @@ def main_nodes(nodes: list[Node]) -> list[Node]:
     for lower, upper in zip(path, path[1:], strict=False):
         place = next(k for k, c in enumerate(upper.children) if c is lower)
         beside = [(k, c) for k, c in enumerate(upper.children) if isinstance(c, Node) and c is not lower]
-        fits = [(k, c) for k, c in beside if not c.noise and c.density >= threshold and _has_paragraph(c)]
+        fits = [(k, c) for k, c in beside if not c.noise and c.tag != "a" and c.chars and c.density >= threshold]
         chosen = [c for k, c in fits if k < place] + chosen + [c for k, c in fits if k > place]
     return chosen
 
 
-def _has_paragraph(node: Node) -> bool:
-    kinds = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
-    todo = [node]
-    while todo:
-        n = todo.pop()
-        if n.tag in kinds:
-            return True
-        todo += [c for c in n.children if isinstance(c, Node) and not c.noise]
-    return False
-
-
-def _is_link_list(node: Node) -> bool:
-    return node.tag in BLOCK and node.links >= 3 and node.link_chars > 0.8 * node.chars
-
-
 def extract_text(html: str | None) -> str:
     """Blocks of the main article, one per line; white space inside a block is one blank."""
     blocks: list[str] = []
@@ -231,7 +252,7 @@ def extract_text(html: str | None) -> str:
                 parts.append(item)
             elif item.tag == "br":
                 parts.append(" ")
-            elif not item.noise and not (item is not root and _is_link_list(item)):
+            elif not item.noise:
                 edge = [None] if item.tag in BLOCK else []
                 todo += [*edge, *reversed(item.children), *edge]
         flush()
