@@ -59,19 +59,31 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of many texts: byte start and end, and number of the text, of every word in order."""
+    """Words of many texts: byte start and end, and number of the text, of every word in order.
 
-    def __init__(self, column: pa.Array):
+    ``data`` has A-Z in lower case unless ``lower`` is false.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = True):
         data, self.offsets = text_bytes(column)
-        self.data = _LOWER[data]  # A-Z in lower case
-        space = _SPACES[self.data]
-        edge = np.diff(np.r_[True, space].view(np.int8))
+        self.data = _LOWER[data] if lower else data
+        self.space = _SPACES[self.data]
+        edge = np.diff(np.r_[True, self.space].view(np.int8))
         self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         self.doc = np.searchsorted(self.offsets, self.start, "right") - 1
         self.n = len(column)
         self.counts = np.bincount(self.doc, minlength=self.n)
         self.first = np.cumsum(np.r_[0, self.counts])  # of each text, plus the end
 
+    def codes(self) -> tuple[np.ndarray, int]:
+        """(a number of each word, the same for equal words; how many numbers there are)."""
+        offsets = np.r_[0, np.cumsum(self.end - self.start)].astype(np.int64)
+        letters = np.ascontiguousarray(self.data[~self.space])
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+        ).dictionary_encode()
+        return np.asarray(words.indices).astype(np.int64), len(words.dictionary)
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word: a polynomial over its bytes from prefix sums, then mixed."""
         power, inverse = _powers(len(self.data))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, html, licenses, lines, mixing, passages, quality, simhash, tokens, toxicity
+from . import alignment, bytenet, decontaminate, html, licenses, lines, mixing, passages, periods, quality, simhash, tokens, toxicity
 from .common import table
 
 SQL = {"op10_license_scan": licenses.SQL, "op4_quality_rules": quality.SQL, "op8_line_dedup": lines.SQL}
@@ -54,6 +55,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs).drop("lines")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("text", periods.with_repeats(F.col("doc_id"), F.col("text")))
+    return periods.run_digests(periods.find_runs(docs))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytenet.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         return lambda spark, sf_dir: f(configure(spark), sf_dir)
