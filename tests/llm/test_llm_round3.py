@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -226,10 +227,15 @@ def test_examples_are_bounded_and_held_out(spark):
 # --- 13 alignment --------------------------------------------------------------------------------------------------
 
 
+@lru_cache
+def names_of_a():
+    both = alignment.tokenizers(alignment.MODEL_A, alignment.MODEL_B)
+    return alignment._byte_letters(), {i: t for t, i in both.a.get_vocab().items()}
+
+
 def plain_tokens(both, text):
     """[(start, end, id)] of both sides, from each library's own ids and pieces; nothing where the bytes differ."""
-    letters = alignment._byte_letters()
-    names = {i: t for t, i in both.a.get_vocab().items()}
+    letters, names = names_of_a()
     want, sides = b" " + (text or "").encode(), []
     ids = both.a.encode(" " + (text or ""), add_special_tokens=False).ids, both.b.encode(text or "")
     for side, own in enumerate(ids):
@@ -297,10 +303,16 @@ def test_op13_odd_rows_and_parts(odd):
     assert alignment.alignment_digests(odd.limit(0)).count() == 0 and alignment.align_tokens(odd.limit(0)).count() == 0
 
 
-def test_parts_of_long_texts_encode_alike(texts):
+def test_parts_encode_like_whole_texts(texts):
     both = alignment.tokenizers(alignment.MODEL_A, alignment.MODEL_B)
-    some = [t for _, t in texts[:60]] + ["a  b   c\n\n d\t e" * 200, "日本語 の テキスト " * 300, "x" * 5000]
-    assert both.encode(some, 97) == both.encode(some, 10**9)
+    rng = random.Random(13)
+    signs = [" ", " ", " ", "  ", "a", "the", "é", "ü", "\u00a0", "\u0085", "\u2003", "\u3000", "日本", "▁", "'s", "'", "1", ".", "\n", "\t", "😀", "ß", "\ufeff", "<s>", "\u1680"]
+    some = [t for _, t in texts[:60]] + ["".join(rng.choices(signs, k=rng.randint(1, 60))) for _ in range(3000)] + ["x" * 5000, None, ""]
+    x = alignment.Aligned(both, some)
+    for i, t in enumerate(some):
+        a, b = plain_tokens(both, t)
+        assert x.a[x.first_a[i] : x.first_a[i + 1]].tolist() == [r[2] for r in a], repr(t)
+        assert x.b[x.first_b[i] : x.first_b[i + 1]].tolist() == [r[2] for r in b], repr(t)
 
 
 def test_groups_of_align_tokens(spark):

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +17,14 @@ from pyspark.sql import functions as F
 from .common import slices, stored
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# A single blank between visible characters: the pattern of A begins a word there and never crosses it, and no piece of
-# B goes on with a blank after another character, so the tokens on both sides are those of the whole text.
-_CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
-_ENCODED = 250_000  # characters handed to a tokenizer at a time
+_ENCODED = 65_536  # bytes of words handed to a tokenizer as one text
+# Fixed values of UTF-8: the first bytes of characters that are neither white space nor U+2581; 0xC2, 0xE1 to 0xE3 and
+# 0xEF begin some that are.
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[33:127] = True
+_WIDE2, _WIDE = np.zeros(256, bool), np.zeros(256, bool)
+_WIDE2[0xC3:0xE0] = True
+_WIDE[0xC3:0xE0] = _WIDE[0xE4:0xEE] = _WIDE[0xF0:0xF5] = True
 
 
 def _byte_letters() -> dict[str, int]:
@@ -59,31 +62,76 @@ class TwoTokenizers:
         self.length_a, self.length_b = (np.array([len(t) for t in b], np.int64) for b in (self.bytes_a, self.bytes_b))
         self.names = [f"{i}{end}" for size, ends in ((self.size_a, ",|"), (self.size_b, ",;")) for end in ends for i in range(size)]
 
-    def encode(self, texts: list[str], chunk: int) -> list[tuple[list[int], list[int]]]:
-        """The ids of A over a blank and the text, and of B over the text, which adds that blank itself."""
-        parts, of = [], []
-        for row, text in enumerate(texts):
-            begin = 0
-            while len(text) - begin > chunk and self.parts and (cut := _CUT.search(text, begin + chunk)):
-                parts.append(text[begin : cut.start()])
-                begin = cut.end()
-                of.append(row)
-            parts.append(text[begin:])
-            of.append(row)
-        out: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
-        low = 0
-        while low < len(parts):
-            high, n = low, 0
-            while high < len(parts) and (high == low or n + len(parts[high]) <= _ENCODED):
-                n += len(parts[high])
-                high += 1
-            some = parts[low:high]
-            ids_a = self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)
-            for row, a, b in zip(of[low:high], ids_a, self.b.encode(some, num_threads=1), strict=True):
-                out[row][0].extend(a.ids)
-                out[row][1].extend(b)
-            low = high
-        return out
+    def encode(self, parts: pa.Array) -> tuple[list[Side], np.ndarray]:
+        """(the ids of A and of B, whether both give back the bytes of each part).
+
+        Each part begins with a blank, which B puts before a text itself. Parts that begin and end with visible characters
+        are read by A many at a time, one after the other: no token crosses from one to the next.
+        """
+        raw = parts.to_pylist()
+        offsets = np.frombuffer(parts.buffers()[1], np.int64)[parts.offset : parts.offset + len(parts) + 1]
+        data = np.r_[np.frombuffer(parts.buffers()[2] or b"", np.uint8), 32, 32]
+        joined, lengths = _ends_visible(data, offsets[1:]) & _begins_visible(data, offsets[:-1] + 1), np.diff(offsets)
+        own, alone = np.flatnonzero(joined), np.flatnonzero(~joined)
+        ends = np.cumsum(lengths[own])
+        group = np.flatnonzero(np.diff(np.r_[-1, ends // _ENCODED]))
+        texts = [b"".join([raw[k] for k in piece.tolist()]).decode() for piece in np.split(own, group[1:]) if len(piece)]
+        texts += [raw[k].decode() for k in alone.tolist()]
+        found = [f.ids for f in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = _flat(found)
+        reached = np.cumsum(self.length_a[ids])
+        # The bytes read so far at the end of each part, in the order of reading.
+        order = np.r_[own, alone]
+        last = np.searchsorted(reached, np.cumsum(lengths[order]), "left") + 1
+        start, times = np.empty((2, len(raw)), np.int64)
+        start[order], times[order] = np.r_[0, last][:-1], np.diff(np.r_[0, last])
+        b = self.b.encode([r[1:].decode() for r in raw], num_threads=1)
+        times_b = np.fromiter(map(len, b), np.int64, len(b))
+        sides = [(ids, start, times), (_flat(b), np.cumsum(times_b) - times_b, times_b)]
+        good = np.ones(len(raw), bool)
+        for (flat, begin, n), own_order, table in zip(sides, (order, np.arange(len(raw))), (self.bytes_a, self.bytes_b), strict=True):
+            whole = b"".join(map(table.__getitem__, flat.tolist())) == b"".join([raw[k] for k in own_order.tolist()])
+            upto = np.r_[0, np.cumsum((self.length_a if table is self.bytes_a else self.length_b)[flat])]
+            if not whole or (upto[begin + n] - upto[begin] != lengths).any():
+                good &= [b"".join(table[i] for i in flat[x : x + k].tolist()) == r for r, x, k in zip(raw, begin.tolist(), n.tolist(), strict=True)]
+        return sides, good
+
+
+Side = tuple[np.ndarray, np.ndarray, np.ndarray]  # ids one after the other; first place and number of each part's
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
+def spans(start: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (times[0] of them), start[1], ... and so on."""
+    ends = np.cumsum(times)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - ends + times, times)
+
+
+def _ends_visible(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is surely visible: ASCII, or of two bytes."""
+    return _VISIBLE[data[at - 1]] | _WIDE2[data[at - 2]]
+
+
+def _begins_visible(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return _VISIBLE[data[at]] | _WIDE[data[at]]
+
+
+def word_parts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the parts of some texts begin, each of which begins with a blank.
+
+    Texts are cut before single blanks between visible characters. The pattern of A begins a word there and never crosses
+    the place, and no piece of B goes on with a blank after another character, so the tokens of the parts, one after the
+    other, are those of the whole text.
+    """
+    at = np.flatnonzero(data == 32)
+    padded = np.r_[data, 32]
+    cut = np.zeros(len(data), bool)
+    cut[at[_ends_visible(padded, at) & _begins_visible(padded, at + 1)]] = True
+    cut[first] = True
+    return np.flatnonzero(cut)
 
 
 @lru_cache(maxsize=2)
@@ -97,16 +145,27 @@ class Aligned:
     Texts that have no tokens by the rules of ``align_tokens`` have none here.
     """
 
-    def __init__(self, both: TwoTokenizers, texts: list[str | None], chunk: int):
+    def __init__(self, both: TwoTokenizers, texts: list[str | None]):
         self.both, self.n = both, len(texts)
-        ids_a, ids_b = [], []
-        for text, (a, b) in zip(texts, both.encode([t or "" for t in texts], chunk), strict=True):
-            want = b" " + (text or "").encode()
-            same = bool(text) and b"".join(map(both.bytes_a.__getitem__, a)) == want == b"".join(map(both.bytes_b.__getitem__, b))
-            ids_a.append(a if same else [])
-            ids_b.append(b if same else [])
-        self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        self.a, self.b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+        raw = [b" " + t.encode() if t else b"" for t in texts]
+        upto = np.cumsum([0, *map(len, raw)])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        filled = upto[:-1][np.diff(upto) > 0]
+        begin = word_parts(data, filled) if both.parts and len(data) else filled
+        # Every different part is encoded once.
+        offsets = np.r_[begin, len(data)].astype(np.int64)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        code = np.asarray(coded.indices).astype(np.int64)
+        sides, good = both.encode(coded.dictionary)
+        doc = np.searchsorted(upto, begin, "right") - 1
+        for bad in np.unique(doc[~good[code]]).tolist():
+            own = code[doc == bad]
+            read = [x[spans(start[own], times[own])].tolist() for x, start, times in sides]
+            if any(b"".join(t[i] for i in x) != raw[bad] for t, x in zip((both.bytes_a, both.bytes_b), read, strict=True)):
+                code, doc = code[doc != bad], doc[doc != bad]
+        self.n_a, self.n_b = (np.bincount(doc, times[code], minlength=self.n).astype(np.int64) for _, _, times in sides)
+        self.a, self.b = (x[spans(start[code], times[code])] for x, start, times in sides)
         self.first_a, self.first_b = (np.r_[0, np.cumsum(n)] for n in (self.n_a, self.n_b))
         # Both sides cover the same bytes without a gap, text after text.
         self.end_a, self.end_b = np.cumsum(both.length_a[self.a]), np.cumsum(both.length_b[self.b])
@@ -134,9 +193,7 @@ class Aligned:
         """(number of the A token, number of the B token) of all pairs whose bytes overlap, by A token."""
         low = np.searchsorted(self.end_b, self.start_a, "right")
         times = np.searchsorted(self.start_b, self.end_a, "left") - low
-        ends = np.cumsum(times)
-        at = np.arange(int(ends[-1]) if len(ends) else 0)
-        return np.repeat(np.arange(len(self.a)), times), at + np.repeat(low - ends + times, times)
+        return np.repeat(np.arange(len(self.a)), times), spans(low, times)
 
     def written(self) -> list[str]:
         """The groups of each text as ``a1,a2|b1;a3|b2``; the two sides take turns group by group."""
@@ -155,23 +212,23 @@ def _rows(docs: DataFrame, text: str) -> DataFrame:
 
 
 def align_tokens(
-    docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B, chunk: int = 65_536, text: str = "text"
+    docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B, text: str = "text"
 ) -> DataFrame:
     """(doc_id, ids_a, ids_b, ends_a, ends_b) of every row: tokens of both sides and where each group ends.
 
     A reads a blank and the text, B the text, before which it puts a blank itself; special tokens are not added and
     their strings are plain text. Groups are cut where a token of A and one of B end at the same byte: group k has the
     tokens ends_a[k-1] .. ends_a[k] of A and those of B between the same entries of ends_b. Null and empty texts, and
-    texts whose tokens do not give back the blank and the text byte by byte on both sides, have no tokens. Texts above
-    ``chunk`` characters are encoded in parts cut at blanks no token crosses. Repeated rows, ties and null ids come out
-    as they are; other columns are not read; an empty table gives an empty result.
+    texts whose tokens do not give back the blank and the text byte by byte on both sides, have no tokens. Texts are encoded
+    part by part (``word_parts``), each different part of a batch once. Repeated rows, ties and null ids come out as they
+    are; other columns are not read; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizers(model_a, model_b)
         for whole in batches:
             for batch in slices(whole, "text"):
-                x = Aligned(both, batch.column(1).to_pylist(), chunk)
+                x = Aligned(both, batch.column(1).to_pylist())
                 first = x.first_groups()
 
                 def lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -188,7 +245,7 @@ def align_tokens(
 _DOC = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, n_pairs int"
 
 
-def _packed(docs: DataFrame, model_a: str, model_b: str, chunk: int, text: str) -> DataFrame:
+def _packed(docs: DataFrame, model_a: str, model_b: str, text: str) -> DataFrame:
     """One row per batch of texts: its documents, its id pairs with their links, and the pairs of each document.
 
     ``at`` and ``times`` hold, document after document, places in ``pairs`` and the document's links with that pair.
@@ -200,7 +257,7 @@ def _packed(docs: DataFrame, model_a: str, model_b: str, chunk: int, text: str)
         both, number = tokenizers(model_a, model_b), count(TaskContext.get().partitionId() << 32)
         for whole in batches:
             for batch in slices(whole, "text"):
-                x = Aligned(both, batch.column(1).to_pylist(), chunk)
+                x = Aligned(both, batch.column(1).to_pylist())
                 of_a, of_b = x.links()
                 doc = np.searchsorted(x.first_a, of_a, "right") - 1
                 pairs, place, links = np.unique(x.a[of_a] * both.size_b + x.b[of_b], return_inverse=True, return_counts=True)
@@ -235,7 +292,7 @@ def pair_counts(packed: DataFrame, size_b: int) -> DataFrame:
 
 
 def alignment_digests(
-    docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B, chunk: int = 65_536, text: str = "text"
+    docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B, text: str = "text"
 ) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row; see ``align_tokens``.
 
@@ -247,7 +304,7 @@ def alignment_digests(
     so a pair that every text holds is no hot key, and the counts come back to the batch they are for.
     """
     both = tokenizers(model_a, model_b)
-    packed = stored(_packed(docs, model_a, model_b, chunk, text), "alignments")
+    packed = stored(_packed(docs, model_a, model_b, text), "alignments")
     scored = pair_counts(packed, both.size_b)
     each = packed.select("batch", F.posexplode("pairs").alias("place", "pair"))
     back = each.join(scored, "pair").groupBy("batch").agg(F.collect_list(F.struct("place", "total", "best")).alias("scores"))
