@@ -42,7 +42,7 @@ def docs(spark, ids):
 
 
 @pytest.mark.parametrize("fk", [True, False])
-@pytest.mark.parametrize("block", [search.QUERY_PASS_BYTES, 200])
+@pytest.mark.parametrize("block", [search.QUERY_BLOCK_BYTES, 200])
 def test_pages_equal_brute_force(spark, fk, block):
     chunks, v, doc = make_chunks(spark)
     queries, q = make_queries(spark)
@@ -58,17 +58,51 @@ def test_pages_equal_brute_force(spark, fk, block):
         assert all(doc[c] == d for _, c, d in page)
 
 
-def test_many_queries_go_in_passes(spark, monkeypatch):
-    """More queries than one pass takes, and tasks that hand on their candidates early: nothing lost."""
-    monkeypatch.setattr(search, "HELD_BYTES", 200)
-    monkeypatch.setattr(search, "MATRIX_CELLS", 50)
-    chunks, v, _ = make_chunks(spark, 200)
-    queries, q = make_queries(spark, 9)
-    got = search.top_documents(chunks, docs(spark, range(201)), queries, 1, 0, True, 300).collect()
-    for r in got:
-        n = int(r["query_id"][1:])
-        assert r["similarity"] == pytest.approx(max(v @ q[n] / np.linalg.norm(v, axis=1)) / np.linalg.norm(q[n]))
-    assert len(got) == 9
+@pytest.mark.parametrize("hot", [False, True])
+def test_ten_blocks_of_queries_and_one_scan(spark, monkeypatch, hot):
+    """Many query blocks, several chunk blocks a task, candidates handed on early: nothing lost, one scan of the chunks."""
+    monkeypatch.setattr(search, "HELD_BYTES", 2000)
+    monkeypatch.setattr(search, "MATRIX_CELLS", 500)
+    monkeypatch.setattr(search, "CHUNK_BLOCK_BYTES", 3000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        chunks, v, doc = make_chunks(spark, 900)
+        if hot:
+            chunks, doc = chunks.withColumn("doc_id", F.lit(7).cast("long")), [7] * len(v)
+        home = search.stored(chunks, "chunks")
+        queries, q = make_queries(spark, 70)
+        block = 7 * 8 * 8  # seven queries
+        found = search.top_documents(home, docs(spark, range(201)), queries, 3, 1, True, block)
+        text = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert text.count("FileScan") == 1 and "Broadcast" not in text and "CartesianProduct" not in text
+        got = found.collect()
+        files = search.stored(queries, "queries").inputFiles()
+        assert len(list(search.QueryBlocks(sorted(files), 4, block)(8))) >= 10
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    for n in range(len(q)):
+        want = [i for i, _ in brute(v, doc, q[n])[1:4]]
+        scores = {i: float(v[i] @ q[n] / np.linalg.norm(v[i]) / np.linalg.norm(q[n])) for i in range(len(v))}
+        page = sorted((r["rank"], r["chunk_id"]) for r in got if r["query_id"] == f"q{n}")
+        assert np.allclose([scores[c] for _, c in page], [scores[i] for i in want]) and len(page) == len(want)
+
+
+def test_depths_of_their_own(spark):
+    chunks, v, doc = make_chunks(spark, 600)
+    queries, q = make_queries(spark, 6)
+    asked = queries.withColumns({"limit": F.substring("query_id", 2, 1).cast("int"), "offset": F.lit(1)})
+    got = search.top_documents(chunks, docs(spark, range(201)), asked, assume_fk=True, block_bytes=200).collect()
+    for n in range(6):
+        page = sorted(r["rank"] for r in got if r["query_id"] == f"q{n}")
+        assert page == list(range(2, 2 + n))
+
+
+def test_null_query_vectors_find_nothing(spark):
+    chunks, _, _ = make_chunks(spark, 60)
+    rows = [(1, None), (2, [0.0] * 8), (3, [1.0] * 8)]
+    q = spark.createDataFrame(rows, "query_id int, vector array<double>")
+    got = search.best_candidates(chunks, q, 2).select("query_id").distinct().collect()
+    assert [r[0] for r in got] == [3]
 
 
 def test_missing_documents_take_no_places(spark):

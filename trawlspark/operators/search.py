@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +16,10 @@ from pyspark.sql import types as T
 from ..session import stored
 from .ranking import first_per_group
 
-# Query vectors of one pass over the chunks; every task holds these. More queries mean more passes.
-QUERY_PASS_BYTES = 128 * 1024 * 1024
+# Query vectors a task reads at a time, and keeps for all its chunks where they are all there is.
+QUERY_BLOCK_BYTES = 16 * 1024 * 1024
+# Chunk vectors that meet one reading of the queries, where a task does not keep these.
+CHUNK_BLOCK_BYTES = 64 * 1024 * 1024
 # Candidates a task holds before it hands them on, and cells of one similarity matrix.
 HELD_BYTES = 64 * 1024 * 1024
 MATRIX_CELLS = 4_000_000
@@ -31,29 +35,58 @@ def check_page(limit: int, offset: int) -> None:
             raise ValueError(f"{name} must be between 0 and 2147483647")
 
 
-def _query_passes(query_vectors: DataFrame, pass_bytes: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Query ids, unit vectors and depths, pass by pass. Queries are computed once; a fetch is of bounded size."""
-    depth = F.col("depth") if "depth" in query_vectors.columns else F.lit(0)
-    rows = query_vectors.filter(F.col("vector").isNotNull()).select(
-        "query_id", F.col("vector").cast("array<double>"), depth.cast("bigint").alias("depth")
-    )
-    rows = stored(rows, "queries")
-    total = rows.agg(F.sum(F.size("vector").cast("bigint") * 8 + 64)).first()[0] or 0
-    passes = -(-total // pass_bytes)
-    part = F.pmod(F.xxhash64("query_id"), F.lit(max(passes, 1)))
-    for n in range(passes):
-        table = rows.filter(part == n).toArrow()
-        if table.num_rows:
-            matrix = np.array(table.column("vector").to_pylist(), dtype=np.float64)
-            norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                unit = matrix / norms
-            yield table.combine_chunks().column("query_id").combine_chunks(), unit, np.asarray(table.column("depth"))
-
-
-def _unit_rows(batch: pa.RecordBatch, dims: int) -> np.ndarray:
-    """Unit vectors of one Arrow batch; NaN where a vector has no direction."""
-    column = batch.column("embedding")
+class QueryBlocks:
+    """The written queries of a search as unit vectors, read block by block by each task.
+
+    ``files`` are Parquet files in the shared folder, opened through pyarrow's file systems (local paths, HDFS and the
+    usual object stores). Blocks are numbered in the order of the files. What fits one block is read once per task.
+    """
+
+    def __init__(self, files: list[str], depth: int | None, block_bytes: int):
+        self.files, self.depth, self.block_bytes = files, depth, block_bytes
+        self._kept: list[tuple[pa.Array, np.ndarray, np.ndarray | None]] | None = None
+        self._rows: int | None = None
+
+    def _open(self, file: str) -> pq.ParquetFile:
+        system, path = fs.FileSystem.from_uri(file)
+        return pq.ParquetFile(system.open_input_file(path))
+
+    def fit(self, dims: int) -> bool:
+        if self._rows is None:
+            self._rows = sum(self._open(f).metadata.num_rows for f in self.files)
+        return self._rows * dims * 8 <= self.block_bytes
+
+    def __call__(self, dims: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray | None]]:
+        """(query ids, unit vectors, depths) block by block; rows without vector are left out."""
+        if self._kept is not None:
+            yield from self._kept
+            return
+        found = self._read(dims)
+        if self.fit(dims):
+            self._kept = list(found)
+            found = iter(self._kept)
+        yield from found
+
+    def _read(self, dims: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray | None]]:
+        for file in self.files:
+            source = self._open(file)
+            own = [c for c in ("depth", "limit", "offset") if c in source.schema_arrow.names]
+            for batch in source.iter_batches(max(1, self.block_bytes // (dims * 8)), columns=["query_id", "vector", *own]):
+                batch = batch.filter(batch.column("vector").is_valid())
+                if not batch.num_rows:
+                    continue
+                depth = None
+                if self.depth is not None:
+                    depth = np.full(batch.num_rows, self.depth, np.int64)
+                elif "depth" in own:
+                    depth = np.asarray(batch.column("depth").cast(pa.int64()))
+                elif {"limit", "offset"} <= set(own):
+                    depth = sum(np.asarray(batch.column(c).cast(pa.int64())) for c in ("limit", "offset"))
+                yield batch.column("query_id"), _unit_rows(batch.column("vector"), dims), None if depth is None else np.maximum(depth, 1)
+
+
+def _unit_rows(column: pa.Array, dims: int) -> np.ndarray:
+    """Unit vectors of one Arrow column; NaN where a vector has no direction."""
     sizes = np.asarray(pc.list_value_length(column))
     if (sizes != dims).any():
         raise ValueError(f"vectors differ in length: expected {dims}, got {sorted(set(sizes.tolist()))}")
@@ -62,94 +95,129 @@ def _unit_rows(batch: pa.RecordBatch, dims: int) -> np.ndarray:
         return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
-def _keep_best(table: pa.Table, depth: np.ndarray | None) -> pa.Table:
+def _keep_best(table: pa.Table, depth: np.ndarray) -> pa.Table:
     """Per query number the best row of each document, and of these as many as its depth."""
     order = [("_q", "ascending"), ("similarity", "descending"), ("chunk_id", "ascending")]
     table = table.take(pc.sort_indices(table, sort_keys=order))
     q = np.asarray(table.column("_q"))
     doc = np.asarray(table.column("doc_id").combine_chunks().dictionary_encode().indices).astype(np.int64)
     first = np.sort(np.unique(q * (doc.max(initial=0) + 1) + doc, return_index=True)[1])
-    if depth is not None:
-        ranked = q[first]
-        rank = np.arange(len(first)) - np.searchsorted(ranked, ranked, side="left")
-        first = first[rank < depth[ranked]]
-    return table.take(pa.array(first))
+    ranked = q[first]
+    rank = np.arange(len(first)) - np.searchsorted(ranked, ranked, side="left")
+    return table.take(pa.array(first[rank < depth[ranked]]))
+
+
+class _Chunks:
+    """Some chunks, sorted by document and id, with unit vectors."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(batches)
+        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("chunk_id", "ascending")]))
+        vectors = table.column("embedding").combine_chunks()
+        self.unit = _unit_rows(vectors, len(vectors[0]))
+        self.plain = table.drop_columns(["embedding"])
+        doc = np.asarray(table.column("doc_id").combine_chunks().dictionary_encode().indices)
+        self.start = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+        self.doc = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])
+
+    def hits(self, unit: np.ndarray, depth: np.ndarray | None, floor: np.ndarray) -> pa.Table | None:
+        """Best chunk per query and document that reaches the query's floor; floors rise to the last place a query has here."""
+        found = []
+        step = max(1, MATRIX_CELLS // len(self.unit))
+        for at in range(0, len(unit), step):
+            sims = self.unit @ unit[at : at + step].T
+            sims[np.isnan(sims)] = -np.inf  # a vector without direction is no hit
+            best = np.maximum.reduceat(sims, self.start, axis=0)
+            low = floor[at : at + step]
+            if depth is not None:
+                own = depth[at : at + step]
+                for d in np.unique(own[own <= len(best)]).tolist():
+                    of = np.flatnonzero(own == d)
+                    low[of] = np.maximum(low[of], np.partition(best[:, of], len(best) - d, axis=0)[len(best) - d])
+            hit = (best >= low) & (best > -np.inf)
+            if len(self.start) < len(sims):
+                hit = hit[self.doc] & (sims == best[self.doc])
+            rows, qs = np.nonzero(hit)
+            if len(rows):
+                first = np.unique(self.doc[rows] * sims.shape[1] + qs, return_index=True)[1]
+                rows, qs = rows[first], qs[first]
+                found.append((rows, qs + at, sims[rows, qs]))
+        if not found:
+            return None
+        rows, qs, similarity = (np.concatenate(c) for c in zip(*found, strict=True))
+        table = self.plain.take(pa.array(rows))
+        return table.append_column("_q", pa.array(qs.astype(np.int64))).append_column("similarity", pa.array(similarity))
 
 
-def _pass_candidates(
-    chunks: DataFrame, ids: pa.Array, unit: np.ndarray, depth: np.ndarray | None, query_type: T.DataType
+def best_candidates(
+    chunks: DataFrame, query_vectors: DataFrame, k: int | None = None, block_bytes: int = QUERY_BLOCK_BYTES, written: bool = False
 ) -> DataFrame:
+    """Scored chunks (query_id, chunk columns, similarity) reduced inside each task, ahead of any shuffle.
+
+    A block join: the queries are written once to the shared folder, the chunks are read once, and each task reads the
+    queries in blocks for every ``CHUNK_BLOCK_BYTES`` of its chunks (once, where one block holds them all). No vector
+    passes the driver and none is broadcast, however many queries there are; a task holds two blocks, its candidates up
+    to ``HELD_BYTES``, and 8 bytes a query. ``written`` says that ``query_vectors`` is a plain read of such files.
+
+    Every task keeps the best chunk per query and document it sees and, given ``k`` or a column ``depth`` (or ``limit``
+    and ``offset``) per query, only so many documents per query. That loses no result: a document among the overall best
+    ``k`` is among the best ``k`` of the task that holds its best chunk. A document with very many chunks, or a hot query,
+    leaves a task as few rows. Chunks without vector or document are no hits.
+    """
+    usable = chunks.filter(F.col("embedding").isNotNull() & F.col("doc_id").isNotNull())
+    asked = query_vectors
+    if not written:
+        asked = stored(query_vectors.select(*(c for c in query_vectors.columns if c in ("query_id", "vector", "depth", "limit", "offset"))), "queries")
+    queries = QueryBlocks(sorted(asked.inputFiles()), k, block_bytes)
     payload = [f for f in chunks.schema.fields if f.name != "embedding"]
-    schema = T.StructType(
-        [T.StructField("query_id", query_type), *payload, T.StructField("similarity", T.DoubleType())]
-    )
+    schema = T.StructType([asked.schema["query_id"], *payload, T.StructField("similarity", T.DoubleType())])
     names = schema.names
-    shared = chunks.sparkSession.sparkContext.broadcast((ids, unit, depth))  # bounded by the size of a pass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, unit, depth = shared.value
-        held: pa.Table | None = None
-        floor = np.full(len(ids), -np.inf)
-
-        def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            out = table.append_column("query_id", ids.take(table.column("_q").combine_chunks())).select(names)
-            yield from out.to_batches()
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows_unit = _unit_rows(batch, unit.shape[1])
-            plain = batch.drop_columns(["embedding"])
-            step = max(1, MATRIX_CELLS // batch.num_rows)
-            for at in range(0, len(ids), step):
-                sims = rows_unit @ unit[at : at + step].T
-                # False for NaN: a vector without direction is no hit.
-                rows, qs = np.nonzero(sims >= floor[at : at + step])
-                if not len(rows):
+        held: dict[int, tuple[pa.Array, pa.Table]] = {}
+        floors: dict[int, np.ndarray] = {}
+
+        def handed_on(tables: list[tuple[pa.Array, pa.Table]]) -> Iterator[pa.RecordBatch]:
+            for ids, table in tables:
+                out = table.append_column("query_id", ids.take(table.column("_q").combine_chunks())).select(names)
+                yield from out.to_batches()
+
+        for some in _chunk_blocks(batches, queries):
+            block = _Chunks(some)
+            for number, (ids, unit, depth) in enumerate(queries(block.unit.shape[1])):
+                floor = floors.setdefault(number, np.full(len(ids), -np.inf))
+                table = block.hits(unit, depth, floor)
+                if table is None:
                     continue
-                table = pa.Table.from_batches([plain.take(pa.array(rows))])
-                table = table.append_column("_q", pa.array(qs.astype(np.int64) + at))
-                table = table.append_column("similarity", pa.array(sims[rows, qs]))
                 if depth is None:
-                    yield from finish(_keep_best(table, None))
+                    yield from handed_on([(ids, table)])
                     continue
-                held = _keep_best(table if held is None else pa.concat_tables([held, table]), depth)
-                q, s = np.asarray(held.column("_q")), np.asarray(held.column("similarity"))
-                counts = np.bincount(q, minlength=len(ids))
-                full = counts >= depth
+                merged = _keep_best(pa.concat_tables([held[number][1], table]) if number in held else table, depth)
+                held[number] = ids, merged
+                q, s = np.asarray(merged.column("_q")), np.asarray(merged.column("similarity"))
+                full = np.bincount(q, minlength=len(ids)) >= depth
                 ends = np.searchsorted(q, np.arange(len(ids)), side="right")
                 floor[full] = np.maximum(floor[full], s[ends[full] - 1])
-                if held.nbytes > HELD_BYTES:  # what follows must still beat the floors; the ranking merges the parts
-                    yield from finish(held)
-                    held = None
-        if held is not None:
-            yield from finish(held)
+                if sum(t.nbytes for _, t in held.values()) > HELD_BYTES:
+                    # What follows must still reach the floors; the ranking merges the parts.
+                    yield from handed_on(list(held.values()))
+                    held.clear()
+        yield from handed_on(list(held.values()))
 
-    return chunks.mapInArrow(run, schema)
+    return usable.mapInArrow(run, schema)
 
 
-def best_candidates(
-    chunks: DataFrame, query_vectors: DataFrame, k: int | None = None, pass_bytes: int = QUERY_PASS_BYTES
-) -> DataFrame:
-    """Scored chunks (query_id, chunk columns, similarity) reduced inside each task, ahead of any shuffle.
-
-    Every task keeps the best chunk per query and document it sees and, given ``k`` or a column ``depth`` per query,
-    only so many documents per query. That loses no result: a document among the overall best ``k`` is among the best
-    ``k`` of the task that holds its best chunk. A document with very many chunks, or a hot query, leaves a task as few
-    rows. Chunks without vector or document are no hits. The chunks are read once for each ``pass_bytes`` of queries.
-    """
-    usable = chunks.filter(F.col("embedding").isNotNull() & F.col("doc_id").isNotNull())
-    query_type = query_vectors.schema["query_id"].dataType
-    asked = query_vectors if k is None else query_vectors.withColumn("depth", F.lit(k))
-    pruned = "depth" in asked.columns
-    out = None
-    for ids, unit, depth in _query_passes(asked, pass_bytes):
-        part = _pass_candidates(usable, ids, unit, np.maximum(depth, 1) if pruned else None, query_type)
-        out = part if out is None else out.unionAll(part)
-    if out is None:
-        empty = F.lit(None).cast(query_type).alias("query_id"), "*", F.lit(None).cast("double").alias("similarity")
-        return usable.drop("embedding").select(*empty).limit(0)
-    return out
+def _chunk_blocks(batches: Iterator[pa.RecordBatch], queries: QueryBlocks) -> Iterator[list[pa.RecordBatch]]:
+    """Batch by batch where the task keeps the queries, else as many as make ``CHUNK_BLOCK_BYTES``."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            if queries.fit(len(batch.column("embedding")[0])) or sum(b.nbytes for b in some) >= CHUNK_BLOCK_BYTES:
+                yield some
+                some = []
+    if some:
+        yield some
 
 
 def best_chunk_per_doc(scored: DataFrame) -> DataFrame:
@@ -203,20 +271,20 @@ def top_documents(
     limit: int = 10,
     offset: int = 0,
     assume_fk: bool = False,
-    pass_bytes: int = QUERY_PASS_BYTES,
+    block_bytes: int = QUERY_BLOCK_BYTES,
+    written: bool = False,
 ) -> DataFrame:
     """The page of each query: (query_id, rank, chunk columns, similarity), document text not attached yet.
 
     Columns limit and offset of the queries, if present, replace the two arguments. ``assume_fk`` states that every
     chunk's document exists, as the table writers of this package ensure; else chunks of missing documents are taken
-    out first, because they would take places of real hits. Tasks keep limit + offset documents per query.
+    out first, because they would take places of real hits. Tasks keep limit + offset documents per query. See
+    ``best_candidates`` for ``block_bytes`` and ``written``.
     """
     check_page(limit, offset)
     own = {"limit", "offset"} <= set(query_vectors.columns)
-    depth = F.col("limit") + F.col("offset") if own else F.lit(limit + offset)
-    asked = query_vectors.withColumn("depth", depth.cast("bigint"))
     usable = chunks if assume_fk else known_chunks(chunks, documents)
-    best = best_chunk_per_doc(best_candidates(usable, asked, None, pass_bytes))
+    best = best_chunk_per_doc(best_candidates(usable, query_vectors, None if own else limit + offset, block_bytes, written))
     if not own:
         return rank_pages(best, limit, offset)
     pages = query_vectors.select("query_id", F.col("limit").alias("_l"), F.col("offset").alias("_o"))

@@ -24,10 +24,11 @@ def search_vectors(
 
     Per-query columns limit and offset, if present, replace the two arguments. ``lookup`` fetches the ids of the result
     pages and pushes them into the document scan (``attach_documents``); without it any number of results will do.
-    The queries are stored once in the shared folder, so each is embedded once.
+    The queries are written once to the shared folder, so each is embedded once; the tasks read them there.
     """
     query_vectors = stored(query_vectors, "asked")
-    hits = attach_documents(top_documents(chunks, documents, query_vectors, limit, offset, assume_fk), documents, lookup)
+    page = top_documents(chunks, documents, query_vectors, limit, offset, assume_fk, written=True)
+    hits = attach_documents(page, documents, lookup)
     asked = hits.join(query_vectors.select("query_id", "query"), "query_id")
     return summarize_hits(asked).select(
         "query_id", "rank", "url", F.col("similarity").alias("score"), "summary", "title"
