@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trawlspark.operators.embed import EmbedConfig
 from trawlspark.session import fresh_dir
 from trawlspark.sources.queues import read_ids, write_ids
-from trawlspark.streaming import rules
+from trawlspark.streaming import ordered, rules
 from trawlspark.streaming.stages import StageTables, crawl_batch, embed_batch, parse_batch, start_crawl, start_embed, start_parse
 
 ONCE = {"availableNow": True}
@@ -120,6 +120,60 @@ def test_rate_limit_and_visits_over_batches(spark, tmp_path):
     assert got == spaced_by_hand(events, 20, False)
 
 
+def timed_events(spark, tmp_path, n=300, columns="host string, ts timestamp, seq long"):
+    """Events of three keys over three triggers, some out of order by up to 20 seconds, and a last one that moves the watermark."""
+    rng = random.Random(9)
+    events = [(rng.choice("aab"), T0 + dt.timedelta(seconds=rng.randint(0, 300), microseconds=rng.randint(0, 999_999)), i) for i in range(n)]
+    events += [("c", T0 + dt.timedelta(seconds=5), n), ("c", T0 + dt.timedelta(seconds=5), n + 1)]  # one time, two rows
+    events.sort(key=lambda e: e[1] + dt.timedelta(seconds=rng.randint(0, 20)))
+    far = [("z", T0 + dt.timedelta(days=3650), -1)]
+    return events, feed(spark, str(tmp_path / "timed"), columns, events[:100], events[100:200], events[200:], far)
+
+
+def drained_states(spark, stream):
+    home = fresh_dir(spark, "out")
+    with ordered.timer_state(spark):
+        query = stream.writeStream.format("parquet").option("checkpointLocation", f"{home}/c").trigger(**ONCE).start(f"{home}/o")
+        query.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    return spark.read.parquet(f"{home}/o").filter("seq >= 0").collect(), states
+
+
+def test_deferred_rows_come_out_by_themselves(spark, tmp_path):
+    events, stream = timed_events(spark, tmp_path)
+    got, states = drained_states(spark, ordered.paced_stream(stream, 5.0, delay="30 seconds"))
+    want, free = {}, {}
+    for host, ts, seq in sorted(events, key=lambda e: (e[1], e[2])):
+        want[seq] = max(ts, free.get(host, ts))
+        free[host] = want[seq] + dt.timedelta(seconds=5)
+    assert len(got) == len(events) and {r["seq"]: r["released_at"] for r in got} == want
+    assert max(states) > 100 and states[-1] <= 4  # state falls again; the last row waits, with its timer
+
+
+def test_visits_expire_in_time_order(spark, tmp_path):
+    events, stream = timed_events(spark, tmp_path)
+    got, states = drained_states(spark, ordered.expiring_visits(stream.withColumnRenamed("host", "url"), "20 seconds", delay="30 seconds"))
+    assert {r["seq"]: r["fresh"] for r in got} == spaced_by_hand(events, 20, False)
+    assert states[-1] <= 4
+
+
+def test_pace_of_less_than_a_millisecond_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError):
+        ordered.paced_stream(timed_events(spark, tmp_path)[1], 0.0001)
+
+
+def test_ids_without_a_page_come_out_with_a_reason(spark, rows, tmp_path):
+    s = dt.timedelta(seconds=1)
+    far = T0 + dt.timedelta(days=3650)
+    put = feed(spark, str(tmp_path / "p"), "id string, put_ts timestamp, body string", [("a", T0, "A"), ("b", T0, "B")], [("c", T0 + 60 * s, "C")], [("z", far, "Z")])
+    asked = [[("a", T0 + 599 * s), ("c", T0 + 59 * s)], [("b", T0 + 600 * s), ("c", T0 + 61 * s), ("x", T0), ("x", T0)], [("z", far + 3600 * s)]]
+    ids = feed(spark, str(tmp_path / "i"), "id string, get_ts timestamp", *asked)
+    got = drain(spark, rules.payload_or_error_stream(ids, put, delay="20 minutes")).filter("id <> 'z'")
+    no = rules.NO_PAGE
+    want = [("a", "A", None), ("b", None, no), ("c", "C", None), ("c", None, no), ("x", None, no), ("x", None, no)]
+    assert rows(got, "id", "body", "reason") == sorted(want, key=repr)
+
+
 def test_visits_drop_repeats(spark, rows, tmp_path):
     day = dt.timedelta(days=1)
     stream = feed(spark, str(tmp_path / "in"), "url string, ts timestamp", [("a", T0), ("b", T0)], [("a", T0 + day), ("c", T0 + day)])

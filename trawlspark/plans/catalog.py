@@ -16,7 +16,7 @@ from ..session import configure, fresh_dir
 from ..sources import messages
 from ..sources.queues import read_ids, write_ids
 from ..sources.tables import create_tables, drop_tables
-from ..streaming import rules
+from ..streaming import ordered, rules
 from ..streaming.stages import StageTables, start_crawl, start_embed, start_parse
 from .crawl import crawl_round
 from .fixtures import Inputs, as_of, dealt, t0
@@ -733,14 +733,59 @@ def stream_first_visit(i):
     return got.filter("fresh").select("seq")
 
 
+def _timed_events(i: Inputs) -> DataFrame:
+    """Stream of the events in three triggers by time; a last row, many years on, moves the watermark past all of them."""
+    home = fresh_dir(i.spark, "events")
+    rows = i.events().select("event_id", "user_id", "ts", "value")
+    day = F.dayofmonth("ts")
+    last = i.spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"),
+        F.expr("timestamp'2100-01-01 00:00:00'").alias("ts"), F.lit(0.0).alias("value"),
+    )
+    parts = [rows.filter(day <= 10), rows.filter((day > 10) & (day <= 20)), rows.filter(day > 20), last]
+    for n, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{home}/{n}")
+    reader = i.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.option("recursiveFileLookup", "true").parquet(home)
+
+
 @_query
 def stream_payload_join(i):
+    """Every id message: with its page, or with the reason why there is none."""
+    e = _timed_events(i)
+    ids = e.select(F.col("event_id").alias("id"), F.expr("ts + make_dt_interval(0, 0, int(event_id % 20 - 3))").alias("get_ts"))
+    put = e.select(F.col("event_id").alias("id"), F.col("ts").alias("put_ts"), "value")
+    found = _drained(i, rules.payload_or_error_stream(ids, put, delay="30 minutes"), "payload")
+    return found.filter("id >= 0").select("id", _r6("value", "value"), "reason")
+
+
+@_query
+def stream_payload_hits(i):
+    """Only the ids whose page is alive, by the inner join."""
     e = _event_stream(i)
     ids = e.select(F.col("event_id").alias("id"), F.expr("ts + make_dt_interval(0, 0, int(event_id % 20 - 3))").alias("get_ts"))
     put = e.select(F.col("event_id").alias("id"), F.col("ts").alias("put_ts"), "value")
     return _drained(i, rules.payload_stream(ids, put), "payload").select("id", _r6("value", "value"))
 
 
+@_query
+def stream_paced(i):
+    """When each event may go if an event of its user goes a day after the one before: deferred ones come out by themselves."""
+    rows = _timed_events(i).select(F.col("user_id").alias("host"), "ts", F.col("event_id").alias("seq"))
+    with ordered.timer_state(i.spark):
+        got = _drained(i, ordered.paced_stream(rows, 86400.0), "paced")
+    return got.filter("seq >= 0").select("seq", F.unix_micros("released_at").alias("released_us"))
+
+
+@_query
+def stream_visits_expire(i):
+    """Visits of seven days' life over several triggers, in time order."""
+    rows = _timed_events(i).select(F.col("user_id").alias("url"), "ts", F.col("event_id").alias("seq"))
+    with ordered.timer_state(i.spark):
+        got = _drained(i, ordered.expiring_visits(rows), "visits")
+    return got.filter("seq >= 0").select("seq", "fresh")
+
+
 @_query
 def stream_rate_limit(i):
     rows = _event_stream(i).select(F.col("user_id").alias("host"), "ts", F.col("event_id").alias("seq"))

@@ -407,7 +407,15 @@ def oracle_sql() -> dict[str, str]:
     q["stream_first_visit"] = chain.format(op=">=", span="7 DAYS") + "SELECT event_id AS seq FROM kept"
     q["stream_rate_limit"] = chain.format(op=">", span="1 DAY") + """SELECT event_id AS seq,
         event_id IN (SELECT event_id FROM kept) AS accepted FROM events"""
-    q["stream_payload_join"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 BETWEEN 3 AND 12"
+    q["stream_visits_expire"] = chain.format(op=">=", span="7 DAYS") + """SELECT event_id AS seq,
+        event_id IN (SELECT event_id FROM kept) AS fresh FROM events"""
+    # Row n of a user goes at the latest of all ts + one day for each row from there to n.
+    q["stream_paced"] = """SELECT event_id AS seq, n * 86400000000 + max(epoch_us(ts) - n * 86400000000)
+            OVER (PARTITION BY user_id ORDER BY n) AS released_us
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)"""
+    q["stream_payload_join"] = """SELECT event_id AS id, CASE WHEN event_id % 20 BETWEEN 3 AND 12 THEN round(value, 6) END AS value,
+        CASE WHEN event_id % 20 NOT BETWEEN 3 AND 12 THEN 'no cached page for the id' END AS reason FROM events"""
+    q["stream_payload_hits"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 BETWEEN 3 AND 12"
     # Every page has one answer: it is a page, a visit, a reject, or held while its link queues.
     q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken6 WHERE ok AND url_id % 5 IN (0, 1)
         UNION ALL SELECT 'visit', url FROM taken6 WHERE ok AND url_id % 5 <> 4

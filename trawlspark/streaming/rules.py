@@ -11,6 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.frontier import PAYLOAD_TTL, VISIT_TTL
 
+NO_PAGE = "no cached page for the id"
+
 
 def visited_stream(df: DataFrame, url: str = "url", ts: str = "ts", ttl: str = VISIT_TTL) -> DataFrame:
     """First fetch of each URL within the life of a visit. Which of several close fetches stays is not defined."""
@@ -30,6 +32,25 @@ def payload_stream(ids: DataFrame, payloads: DataFrame, ttl: str = PAYLOAD_TTL)
     return left.join(right, alive).select("i.*", *rest)
 
 
+def payload_or_error_stream(ids: DataFrame, payloads: DataFrame, ttl: str = PAYLOAD_TTL, delay: str = "0 seconds") -> DataFrame:
+    """Every id message (id, get_ts) once: with the cached page that was alive at its time, or with a ``reason``.
+
+    An outer join of two streams: an id without a page comes out when the watermark has passed all pages it could have
+    met, and its state goes then. The latest page put before the id's time is not singled out: an id that was put twice
+    within the life of a page comes out with both. ``delay`` is how long either side waits for rows out of order.
+    """
+    left = ids.withWatermark("get_ts", delay).alias("i")
+    right = payloads.withWatermark("put_ts", delay).alias("p")
+    alive = (
+        (F.col("i.id") == F.col("p.id"))
+        & (F.col("p.put_ts") <= F.col("i.get_ts"))
+        & (F.col("p.put_ts") > F.col("i.get_ts") - F.expr(f"INTERVAL {ttl}"))
+    )
+    rest = [F.col(f"p.{c}") for c in payloads.columns if c != "id"]
+    reason = F.when(F.col("p.id").isNull(), F.lit(NO_PAGE)).alias("reason")
+    return left.join(right, alive, "left_outer").select("i.*", *rest, reason)
+
+
 def _spaced(df: DataFrame, key: str, wait_us: int, strict: bool, flag: str) -> DataFrame:
     """Per key in time order: a row passes when its distance to the last passed row exceeds ``wait_us``.
 
