@@ -798,7 +798,7 @@ def stream_crawl(i):
     """Three rounds of two links per host; a third of all answers comes with each, before or after its link's round."""
     home = fresh_dir(i.spark, "crawl")
     tables = StageTables(i.spark, home)
-    tables.write("frontier", 0, i.frontier().withColumn("updated_at", t0()))
+    tables.seed(i.frontier().withColumn("updated_at", t0()))
     kind = F.col("page_id") % 5
     types = F.when(kind == 0, "text/html; charset=utf-8").when(kind == 1, "text/plain").when(kind == 2, "image/png").when(kind == 4, "bad")
     answers = i.table("pages").select("url", F.lit(200).alias("status"), types.alias("content_type"), F.col("html").alias("body"), "page_id")
@@ -812,7 +812,7 @@ def stream_crawl(i):
     start_crawl(sent, tables, i.sites(), rules_table, f"{home}/checkpoint", as_of(), _NOW, per_host=2).awaitTermination()
     found, _ = messages.read_messages(tables.read("messages").select("message"))
     rows = found.select(F.lit("message").alias("output"), "url")
-    for output, table in (("visit", tables.read("visits")), ("held", tables.held(3)), ("frontier", tables.frontier())):
+    for output, table in (("asked", tables.read("asked")), ("visit", tables.read("visits")), ("held", tables.held(3)), ("frontier", tables.frontier())):
         rows = rows.unionByName(table.select(F.lit(output).alias("output"), "url"))
     return rows.unionByName(tables.read("crawl_rejects").select(F.col("reason").alias("output"), "url"))
 

@@ -93,7 +93,8 @@ _CTE = {
             WHEN f.url IN (SELECT url FROM visited WHERE visited_at + INTERVAL 7 DAYS > {_AS_OF}) THEN 'url exists in redis'
             ELSE 'all checks passed' END AS reason
         FROM frontier f LEFT JOIN sites s USING (host) JOIN permitted p USING (url_id)""",
-    "judged_fresh": """SELECT f.*, f.depth < coalesce(s.depth, 99) AND p.allowed AS ok
+    "judged_fresh": """SELECT f.*, f.depth < coalesce(s.depth, 99) AND p.allowed AS ok,
+            CASE WHEN f.depth >= s.depth THEN 'site depth reached' WHEN NOT p.allowed THEN 'not allowed by robots.txt' END AS reason
         FROM frontier f LEFT JOIN sites s USING (host) JOIN permitted p USING (url_id)""",
     "judged": """SELECT url_id, url, CASE WHEN reason = 'all checks passed' AND interval_s * row_number() OVER
             (PARTITION BY host, reason ORDER BY created_at, url_id) > 1.0 THEN 'rate limit exceeded' ELSE reason END AS reason
@@ -416,11 +417,12 @@ def oracle_sql() -> dict[str, str]:
     q["stream_payload_join"] = """SELECT event_id AS id, CASE WHEN event_id % 20 BETWEEN 3 AND 12 THEN round(value, 6) END AS value,
         CASE WHEN event_id % 20 NOT BETWEEN 3 AND 12 THEN 'no cached page for the id' END AS reason FROM events"""
     q["stream_payload_hits"] = "SELECT event_id AS id, round(value, 6) AS value FROM events WHERE event_id % 20 BETWEEN 3 AND 12"
-    # Every page has one answer: it is a page, a visit, a reject, or held while its link queues.
+    # Every link was asked for, is rejected with the reason, or queues; each answer is a page, a visit, a reject, or held.
     q["stream_crawl"] = _sql("""SELECT 'message' AS output, url FROM taken6 WHERE ok AND url_id % 5 IN (0, 1)
         UNION ALL SELECT 'visit', url FROM taken6 WHERE ok AND url_id % 5 <> 4
         UNION ALL SELECT 'unreadable content type', url FROM taken6 WHERE ok AND url_id % 5 = 4
         UNION ALL SELECT 'not asked for', url FROM taken6 WHERE NOT ok
+        UNION ALL SELECT CASE WHEN ok THEN 'asked' ELSE reason END, url FROM taken6
         UNION ALL SELECT o, url FROM frontier, (VALUES ('held'), ('frontier')) x(o) WHERE url_id NOT IN (SELECT url_id FROM taken6)""", "taken6")
     q["stream_parse"] = _sql("""SELECT url, title, content FROM page_docs WHERE page_id % 10 NOT IN (3, 6)
         UNION ALL SELECT CASE WHEN page_id % 10 = 6 THEN 'u' END, NULL, CASE page_id % 10 WHEN 6 THEN 'page without body text' ELSE 'bad message' END

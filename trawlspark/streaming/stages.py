@@ -7,7 +7,7 @@ rewritten, and the time of a trigger is stored with it, so a replayed trigger le
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.documents import lookup_documents
-from ..functions.urls import normal_url
+from ..functions.urls import is_valid_url, normal_url
 from ..operators.embed import EmbedConfig, bad_vector
 from ..operators.frontier import BATCH_PER_HOST, TOO_FAST, VISIT_TTL, admit, dequeue, enqueue_links, gate_content_type, in_scope
 from ..operators.pages import link_rows
@@ -42,9 +42,11 @@ _ANSWER = T.StructType([
 ])
 _SPENT = T.StructType([T.StructField("url", T.StringType()), T.StructField("arrived", T.LongType())])
 _TIME = T.StructType([T.StructField("at", T.TimestampType())])
+_BASES = T.StructType([T.StructField("name", T.StringType()), T.StructField("upto", T.LongType()), T.StructField("generation", T.LongType())])
 _MESSAGES = T.StructType([T.StructField("id", T.StringType()), T.StructField("message", T.StringType())])
 REJECTS = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "url", "reason")])
 _LINKS = T.StructType([f for f in FRONTIER.fields if f.name != "url_id"])
+NO_URL = "not a URL"
 # Fixed value: pause between two rounds of the crawl loop.
 ROUND_PAUSE = "3 seconds"
 
@@ -55,6 +57,7 @@ class StageTables:
 
     spark: SparkSession
     root: str
+    _bases: dict[str, tuple[int, int]] = field(default_factory=dict, compare=False, repr=False)  # (generation, last batch)
 
     _SCHEMAS = {
         "documents": DOCUMENTS, "frontier": _LINKS, "chunks": CHUNKS, "doc_ids": QUEUE_MESSAGE, "rejects": REJECTS,
@@ -63,20 +66,42 @@ class StageTables:
         "crawl_times": _TIME, "parse_times": _TIME, "embed_times": _TIME,
     }
 
+    def __post_init__(self):
+        self.refresh()
+
     def path(self, name: str, batch: int | None = None) -> str:
         return f"{self.root}/{name}" + ("" if batch is None else f"/batch_id={batch}")
 
-    def read(self, name: str, before: int | None = None) -> DataFrame:
-        """All rows, or those of the batches before the given one, with their batch_id."""
-        schema = T.StructType([*self._SCHEMAS[name].fields, T.StructField("batch_id", T.LongType())])
+    def refresh(self) -> None:
+        """Learn which snapshots are complete; every trigger does so once."""
+        last = self._folder(f"{self.root}/snapshots/bases", _BASES).groupBy("name").agg(F.max(F.struct("generation", "upto")).alias("b"))
+        self._bases.update({r["name"]: tuple(r["b"]) for r in last.collect()})
+
+    def _folder(self, path: str, schema: T.StructType) -> DataFrame:
         try:
-            rows = self.spark.read.schema(schema).parquet(self.path(name))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
+
+    def read(self, name: str, before: int | None = None) -> DataFrame:
+        """All rows, or those of the batches before the given one, with their batch_id: the last snapshot and what came since."""
+        schema = T.StructType([*self._SCHEMAS[name].fields, T.StructField("batch_id", T.LongType())])
+        rows = self._folder(self.path(name), schema)
+        if name in self._bases:
+            # Folders that the snapshot covers are pruned; its rows carry the batch they came with.
+            generation, upto = self._bases[name]
+            rows = rows.filter(F.col("batch_id") > upto).unionAll(self._folder(self._snapshot(name, generation), schema))
         return rows if before is None else rows.filter(F.col("batch_id") < before)
 
+    def _snapshot(self, name: str, generation: int) -> str:
+        return f"{self.root}/snapshots/{name}/{generation}"
+
+    def seed(self, links: DataFrame) -> None:
+        """First links of the queue (see ``seed_frontier``), ahead of the batches of the parse stage."""
+        self.write("frontier", -1, links)
+
     def write(self, name: str, batch: int, df: DataFrame) -> None:
         fields = self._SCHEMAS[name].fields
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
@@ -133,23 +158,48 @@ class StageTables:
         current = log.groupBy("url").agg(first.alias("f"), last.alias("l"))
         return current.select("f.doc_id", "url", "l.content", "f.title", "f.created_at", "l.updated_at")
 
-    def compact(self, name: str, upto: int) -> None:
-        """Merge the batches up to one into that one: one row per URL of the documents or visits; between triggers.
+    def compact(self, parsed: int | None = None, crawled: int | None = None) -> None:
+        """Snapshots of the logs up to a batch of the parse stage and one of the crawl stage; call it between triggers.
 
-        The merged rows are complete in their place before the older batches are emptied. After a crash in between
-        both are there, which reads the same, and the call can be repeated.
+        ``documents`` and ``visits`` get one row per URL, ``frontier`` the links that still queue, ``asked`` those that wait
+        for an answer, ``early`` the answers that are held; what ``taken``, ``closed`` and ``spent`` have taken out of these
+        is not kept. So what a trigger reads grows with the links at hand and the triggers since, not with the history.
+        Snapshots are written whole before one row in ``bases`` names them, all at once: a crash before that changes
+        nothing, and the call can be repeated. Both batches must be complete, since a snapshot is not rewritten by a replay.
         """
-        if name == "documents":
-            merged = self.documents(upto + 1)
-        elif name == "visits":
-            merged = self.read(name, upto + 1).groupBy("url").agg(F.max("visited_at").alias("visited_at"))
-        else:
-            raise ValueError("only documents and visits have one row per URL")
-        older = [r[0] for r in self.read(name, upto).select("batch_id").distinct().collect()]
-        merged = stored(merged, "compact")
-        self.write(name, upto, merged)
-        for batch in older:
-            self.write(name, batch, merged.limit(0))
+        self.refresh()
+        generation = 1 + max((g for g, _ in self._bases.values()), default=0)
+        made: dict[str, tuple[int, DataFrame]] = {}
+        if parsed is not None:
+            documents = self.documents(parsed + 1).withColumn("batch_id", F.lit(parsed).cast("bigint"))
+            made["documents"] = parsed, documents
+        if crawled is not None:
+            visits = self.read("visits", crawled + 1).groupBy("url").agg(F.max("visited_at").alias("visited_at"))
+            made["visits"] = crawled, visits.withColumn("batch_id", F.lit(crawled).cast("bigint"))
+            key = ["url", "added"]
+            closed = self.read("closed", crawled + 1)
+            made["asked"] = crawled, self.read("asked", crawled + 1).join(closed, key, "left_anti")
+            made["closed"] = crawled, closed.limit(0)
+            spent = self.read("spent", crawled + 1)
+            early = self.read("early", crawled + 1).withColumn("arrived", F.col("batch_id"))
+            made["early"] = crawled, early.join(spent, ["url", "arrived"], "left_anti").drop("arrived")
+            made["spent"] = crawled, spent.limit(0)
+            if parsed is not None:
+                links = self.read("frontier", parsed + 1).withColumn("added", F.col("batch_id"))
+                taken = self.read("taken", crawled + 1)
+                made["frontier"] = parsed, links.join(taken, key, "left_anti").drop("added")
+                # What was taken of later batches of links is still needed.
+                made["taken"] = crawled, taken.filter(F.col("added") > parsed)
+        for name, (upto, rows) in made.items():
+            if upto < self._bases.get(name, (0, upto))[1]:
+                raise ValueError(f"there is a later snapshot of {name}")
+        for name, (_, rows) in made.items():
+            names = [*self._SCHEMAS[name].names, "batch_id"]
+            rows.select(names).write.mode("overwrite").parquet(self._snapshot(name, generation))
+        if made:
+            bases = self.spark.createDataFrame([(name, upto, generation) for name, (upto, _) in made.items()], _BASES)
+            bases.coalesce(1).write.mode("append").parquet(f"{self.root}/snapshots/bases")
+            self.refresh()
 
 
 def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
@@ -160,6 +210,7 @@ def parse_batch(tables: StageTables, sites: DataFrame, as_of: Column | None = No
     given = as_of
 
     def run(messages: DataFrame, batch: int) -> None:
+        tables.refresh()
         as_of = tables.time("parse", batch, given)
         bad = None
         if "message" in messages.columns:
@@ -207,20 +258,27 @@ def crawl_batch(
     A round takes the oldest links of each host from the queue and adds the admitted ones to the list of links asked
     for. Answers (url, status, content_type, body) of this or any later trigger are joined to that list and become
     messages and visits; the first answer of a URL counts. An answer whose link still queues is held until its round.
-    Rejected, with a reason: answers nobody asked for, further answers, unreadable types, and links without an answer
-    for ``answer_ttl``. So every answer is a page, a visit, held, or a reject. With ``max_waiting`` a round asks for
+    Rejected, with a reason: links that are no URL or fail admission, answers nobody asked for, further answers,
+    unreadable types, and links without an answer for ``answer_ttl``. So every link queues, waits, was answered or is a
+    reject, and every answer is a page, a visit, held, or a reject. With ``max_waiting`` a round asks for
     nothing while so many links wait for an answer.
     """
     given = as_of
 
     def run(responses: DataFrame, batch: int) -> None:
+        tables.refresh()
         as_of = tables.time("crawl", batch, given)
         queue = tables.frontier(taken_before=batch).withColumn("url_id", F.col("url"))
         if max_waiting is not None and tables.waiting(batch - 1).limit(max_waiting).count() >= max_waiting:
             queue = queue.limit(0)
         taken, _ = dequeue(queue, sites, per_host)
         judged = durable(admit(taken, sites, rules, tables.read("visits", batch), as_of, agent, round_s, max_per_host=per_host))
-        tables.write("taken", batch, queue.join(_left(queue, sites, per_host, judged), ["url", "added"], "left_semi"))
+        oldest = first_per_group(in_scope(queue, sites), ["host"], [F.col("created_at"), F.col("url_id")], per_host)
+        # A link that a rate limit sends back stays; the others leave the queue: asked for, or rejected with the reason.
+        back = judged.filter(F.col("reason") == TOO_FAST).select("url", "added")
+        tables.write("taken", batch, oldest.join(back, ["url", "added"], "left_anti"))
+        refused = judged.filter(~F.col("ok") & (F.col("reason") != TOO_FAST)).select("url", "reason")
+        no_url = oldest.filter(~is_valid_url("url")).select("url", F.lit(NO_URL).alias("reason"))
         tables.write("asked", batch, judged.filter("ok").withColumn("asked_at", as_of))
 
         waiting = durable(tables.waiting(batch))
@@ -254,7 +312,7 @@ def crawl_batch(
                 errors.select("url", F.lit("unreadable content type").alias("reason")),
                 late.select("url", F.lit("no answer").alias("reason")),
             ]
-            rejects = reasons[0].unionByName(reasons[1]).unionByName(reasons[2])
+            rejects = reduce(DataFrame.unionByName, [*reasons, refused, no_url])
             tables.write("crawl_rejects", batch, rejects.withColumn("id", F.lit(None).cast("string")))
         finally:
             known.unpersist()
@@ -262,13 +320,6 @@ def crawl_batch(
     return run
 
 
-def _left(queue: DataFrame, sites: DataFrame, per_host: int, judged: DataFrame) -> DataFrame:
-    """(url, added) of the rows that leave the queue: the dequeued ones, but those a rate limit sends back."""
-    back = judged.filter(F.col("reason") == TOO_FAST).select("url", "added")
-    oldest = first_per_group(in_scope(queue, sites), ["host"], [F.col("created_at"), F.col("url_id")], per_host)
-    return oldest.select("url", "added").join(back, ["url", "added"], "left_anti")
-
-
 def embed_batch(
     tables: StageTables, as_of: Column | None = None, cfg: EmbedConfig = EmbedConfig()
 ) -> Callable[[DataFrame, int], None]:
@@ -279,6 +330,7 @@ def embed_batch(
     given = as_of
 
     def run(ids: DataFrame, batch: int) -> None:
+        tables.refresh()
         as_of = tables.time("embed", batch, given)
         wanted = ids.select(F.col("id").alias("doc_id")).distinct()
         found, missing = lookup_documents(wanted, tables.documents(ids=wanted))
