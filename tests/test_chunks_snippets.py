@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trawlspark.functions.text import STOPWORDS
-from trawlspark.functions.tokens import token_array, token_count, truncate_tokens
+from trawlspark.functions.tokens import TOKEN_PATTERN, token_array, token_count, truncate_tokens
 from trawlspark.operators import chunks, snippets
 
 SIZES = [2, 3, 4, 460, 461, 462, 511, 512, 513, 920, 921, 922, 972, 973, 1000]
@@ -197,3 +198,37 @@ def test_result_cards(spark):
 def test_stop_words_are_no_keywords(spark):
     df = spark.createDataFrame([(" ".join(STOPWORDS) + " zzz", )], "t string").withColumn("q", F.col("t"))
     assert snippets.snippet_ranges(df, "t", "q").first()["snippet_start"] is None
+
+
+def test_native_tokens_equal_a_plain_tokenizer(spark):
+    rng = random.Random(3)
+    texts = ["", " ", "\n\n", "a", "..", "é b_c 日本 1.5", " x " * 700, "?!" * 400] + [
+        "".join(rng.choices([" ", "  ", "\n", "a", "Bc9", "_", "é", "ß", "😀", ".", "-", "\t"], k=rng.randint(1, 900))) for _ in range(60)
+    ]
+    df = spark.createDataFrame([*enumerate(texts), (-1, None)], "id int, text string")
+    got = {r["id"]: r["tokens"] for r in chunks.tokenize(df, "text").collect()}
+    assert got.pop(-1) is None
+    plain = re.compile(TOKEN_PATTERN, re.ASCII)
+    for i, t in enumerate(texts):
+        want = [("[CLS]", 0, 0), *((m.group(), *m.span()) for m in plain.finditer(t)), ("[SEP]", 0, 0)]
+        assert [tuple(x) for x in got[i]] == [(n, *w) for n, w in enumerate(want)]
+
+
+def test_tokens_and_windows_are_native(spark):
+    df = spark.createDataFrame([(1, "some text")], "doc_id int, text string")
+    text = chunks.chunk_windows(chunks.tokenize(df, "text"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
+
+
+def test_cost_of_a_long_text_grows_with_its_length(spark):
+    def seconds(words):
+        df = spark.range(1).select(F.lit(1).alias("doc_id"), F.expr(f"repeat('words, and ', {words})").alias("text"))
+        start = time.perf_counter()
+        n = chunks.chunk_windows(chunks.tokenize(df, "text")).agg(F.count("*"), F.sum("chunk_end")).first()[0]
+        spans = chunks.chunk_spans(df, "text").agg(F.count("*"), F.sum("chunk_end")).first()[0]
+        assert n == spans == -(-(3 * words + 2) // 460)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    short, long = seconds(20_000), seconds(200_000)
+    assert long < 30 * max(short, 0.5)

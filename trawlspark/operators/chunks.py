@@ -8,33 +8,70 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import MODEL_INPUT, OVERLAP, TOKEN_PATTERN, token_count
+from ..functions.tokens import MODEL_INPUT, OVERLAP, token_count
 
 TokenSpans = Callable[[str], Sequence[tuple[str, int, int]]]
 
 _TOKENS = "array<struct<pos:int,token:string,start:int,end:int>>"
 # Possessive forms, so that Java walks a counted run of tokens in a loop and never backtracks into a token.
 _ONE = r"\s*+(?:\w++|[^\w\s])"
+# Tokens that are numbered together: sums run over the runs of a text, then inside each run, so both stay short.
+_RUN = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running_sums(numbers: Column) -> Column:
+    """0 and the sums of the first, the first two, … numbers: one fold that carries the array."""
+    return F.reduce(numbers, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+
+
+def _native_tokens(text: Column) -> Column:
+    """Array of (token, start, end) of the default tokenizer."""
+    runs = F.regexp_extract_all(text, F.lit(f"(?:{_ONE}){{1,{_RUN}}}+"), F.lit(0))
+
+    def spans(run: Column, before: Column) -> Column:
+        tokens = F.regexp_extract_all(run, F.lit(r"\s*+(\w++|[^\w\s])"), F.lit(1))
+        ends = running_sums(F.transform(F.regexp_extract_all(run, F.lit(_ONE), F.lit(0)), F.length))
+
+        def span(token: Column, end: Column) -> Column:
+            return F.struct(token.alias("token"), (before + end - F.length(token)).alias("start"), (before + end).alias("end"))
+
+        return F.zip_with(tokens, F.slice(ends, F.lit(2), F.lit(_RUN)), span)
+
+    def whole(found: Column) -> Column:
+        before = running_sums(F.transform(found, F.length))
+        return F.flatten(_let(before, lambda b: F.transform(found, lambda r, i: spans(r, F.get(b, i)))))
+
+    return _let(runs, whole)
 
 
 def tokenize(df: DataFrame, text: str, tokenizer: TokenSpans | None = None, add_special: bool = True) -> DataFrame:
     """Adds ``tokens``: position, token, and character span; the markers have the span (0, 0).
 
-    ``tokenizer`` maps a text to (token, start, end) triples and runs on Arrow batches. The default one cuts word
-    runs and punctuation marks; jobs that need only its counts or chunk spans use the native forms instead.
+    The default cuts word runs and punctuation marks, natively. ``tokenizer`` maps a text to (token, start, end) triples
+    and runs in Python on Arrow batches. Jobs that need only counts or chunk spans use those forms instead.
     """
+    if tokenizer is None:
+        marker = [F.array(F.struct(F.lit(m).alias("token"), F.lit(0).alias("start"), F.lit(0).alias("end"))) for m in ("[CLS]", "[SEP]")]
+        found = _native_tokens(F.col(text))
+        if add_special:
+            found = F.concat(marker[0], found, marker[1])
+        numbered = F.transform(found, lambda t, i: F.struct(i.alias("pos"), t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end")))
+        # A generator keeps later filters and fields on one copy of the array.
+        return df.select(*[c for c in df.columns if c != "tokens"], F.explode(F.array(numbered)).alias("tokens"))
 
     @F.pandas_udf(_TOKENS)
     def spans(texts: pd.Series) -> pd.Series:
-        import re
-
-        default = re.compile(TOKEN_PATTERN, re.ASCII)
         out = []
         for t in texts:
             if t is None:
                 out.append(None)
                 continue
-            found = list(tokenizer(t)) if tokenizer else [(m.group(), *m.span()) for m in default.finditer(t)]
+            found = list(tokenizer(t))
             if add_special:
                 found = [("[CLS]", 0, 0), *found, ("[SEP]", 0, 0)]
             out.append([{"pos": i, "token": k, "start": s, "end": e} for i, (k, s, e) in enumerate(found)])
@@ -84,18 +121,18 @@ def chunk_windows(
     kept = [c for c in df.columns if c != tokens]
     t = F.col(tokens)
     n = F.size(t)
-    rows = df.filter(n >= 2).select(*kept, tokens, F.inline(_window_bounds(n, size, overlap)))
-    start, end = F.col("tok_start"), F.col("tok_end")
-    return rows.select(
-        *kept,
-        "chunk_no",
-        "tok_start",
-        "tok_end",
-        "input_end",
-        F.slice(t, start + 1, F.col("input_end") - start).getField("token").alias("input_tokens"),
-        F.element_at(t, start + 1).getField("start").cast("bigint").alias("chunk_start"),
-        F.element_at(t, end - 1).getField("end").cast("bigint").alias("chunk_end"),
-    )
+
+    def window(b: Column) -> Column:
+        start, end = b["tok_start"], b["tok_end"]
+        return F.struct(
+            *[b[c].alias(c) for c in ("chunk_no", "tok_start", "tok_end", "input_end")],
+            F.slice(t, start + 1, b["input_end"] - start).getField("token").alias("input_tokens"),
+            F.element_at(t, start + 1).getField("start").cast("bigint").alias("chunk_start"),
+            F.element_at(t, end - 1).getField("end").cast("bigint").alias("chunk_end"),
+        )
+
+    # Each window takes its own tokens before the rows are made, so no row carries the whole text.
+    return df.filter(n >= 2).select(*kept, F.inline(F.transform(_window_bounds(n, size, overlap), window)))
 
 
 def chunk_spans(
@@ -117,8 +154,9 @@ def chunk_spans(
     )
     # A full last run leaves no place for the end marker, which becomes a chunk of its own.
     full = token_count(F.element_at("_runs", -1), add_special=False) == step
-    lens = runs.withColumns({"_lens": F.transform("_runs", F.length), "_marker_only": full})
-    total = lambda upto: F.aggregate(F.slice("_lens", 1, upto), F.lit(0), lambda a, x: a + x)
+    sums = F.explode(F.array(running_sums(F.transform("_runs", F.length))))  # a generator: computed once
+    lens = runs.select("*", full.alias("_marker_only"), sums.alias("_upto"))
+    total = lambda upto: F.get("_upto", upto)
     last = F.size("_runs")
 
     def piece(r: Column, i: Column) -> Column:
