@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm_methods import story
 
-from trawlspark.llm import html, mixing, passages
+from trawlspark.llm import decontaminate, html, mixing, passages, quality
 
 
 # --- 2 passages ----------------------------------------------------------------------------------------------------
@@ -69,3 +69,42 @@ def test_all_of_the_article_is_kept():
     assert got.split("\n") == [LONG.strip(), *(f"source number {i}" for i in range(4))]
     page = f"<body><div>{PARA * 3}</div><div>{LONG}</div><table><tr><td>{LONG}</td></tr></table><div><a href='x'>more</a></div></body>"
     assert html.extract_text(page).split("\n") == [LONG.strip()] * 5
+
+
+@pytest.mark.parametrize("tag", ['form id="aspnetForm"', 'div role="form"', 'form class="page"'])
+def test_a_form_around_the_page_does_not_empty_it(tag):
+    name = tag.split()[0]
+    page = f'<body><{tag}><div id="content">{PARA}<input name="q"><select><option>one</option></select></div></{name}></body>'
+    assert html.extract_text(page) == (LONG.strip() if name == "form" else "")
+    page = f"<body><article>{PARA}</article><form><label>Your name</label><p>Send us a word</p></form></body>"
+    assert html.extract_text(page) == LONG.strip()
+
+
+# --- 9 benchmark ---------------------------------------------------------------------------------------------------
+
+
+def test_short_items_and_items_without_id(spark):
+    long = "a passage of some length that stands in the benchmark without any id and has ninety bytes or so"
+    items = [(None, long), (1, "What is the capital of Burkina Faso?"), (2, "yes"), (3, "is the"), (4, "你好吗世界你好吗"), (5, "cat sat on"), (None, None)]
+    docs = [
+        (10, f"before it {long} and after it"), (11, "Quiz: what is the capital of Burkina-Faso, then?"), (12, "yes it is the one"),
+        (13, "前你好吗世界你好吗后 x"), (14, "x 你好吗世界你好吗 y"), (15, "the concat sat on"), (16, "the cat sat, on it"), (17, "what is the capital of Burkina Fasos"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.find_passages(df, bench).collect()), key=repr)
+    assert got == [(10, None, 0), (11, 1, 0), (14, 4, 0), (16, 5, 0)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()) == [12, 13, 15, 17]
+
+
+# --- 4 quality -----------------------------------------------------------------------------------------------------
+
+
+def test_equal_rows_of_two_hosts_lose_their_own_lines_only(spark):
+    line = "all rights reserved by the people of this site"
+    text = " ".join(f"w{i}" for i in range(18)) + "\n" + line
+    rows = [(i, "a", f"text number {i} with words\n{line}") for i in range(30)] + [(i, "b", f"other number {i} with words") for i in range(100, 130)]
+    rows += [(500, "a", text), (500, "b", text), (501, None, text), (501, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {(r["doc_id"], r["n_words"], r["n_left_words"]) for r in quality.quality_rules(df).collect() if r["doc_id"] >= 500}
+    assert got == {(500, 27, 18), (500, 27, 27), (501, 27, 27), (501, 0, 0)}

@@ -13,6 +13,8 @@ from .common import slices, stored, text_bytes
 
 Q = 8  # characters (bytes of UTF-8) of a q-gram: one machine word
 _BLANK = 32
+# A short item is searched only if its normal form has so many words, or so many bytes; less stands everywhere.
+SHORT_WORDS, SHORT_BYTES = 3, 20
 
 # Normal form, byte by byte: A-Z in lower case; ASCII characters that are neither letters nor digits are blanks.
 _FORM = np.arange(256, dtype=np.uint8)
@@ -50,12 +52,17 @@ class PassageIndex:
 
     TABLE_BITS = 22
 
-    def __init__(self, ids: list[int], texts: list[str], rate: float, accept: float):
-        self.ids = np.array(ids, np.int64)
+    def __init__(self, ids: list[int | None], texts: list[str], rate: float, accept: float, min_chars: int = 0):
         data, offsets = normal(pa.array(texts, pa.string()))
-        self.items = [data[a : b - 1] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        items = [data[a : b - 1] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        items = [x[1:] if len(x) and x[0] == _BLANK else x for x in items]
+        items = [x[:-1] if len(x) and x[-1] == _BLANK else x for x in items]
+        told = [len(x) >= min_chars or len(x) >= Q and (len(x) >= SHORT_BYTES or (x == _BLANK).sum() >= SHORT_WORDS - 1) for x in items]
+        self.ids = pa.array([i for i, t in zip(ids, told, strict=True) if t], pa.int64())
+        self.items = [x for x, t in zip(items, told, strict=True) if t]
         self.length = np.array([len(x) for x in self.items], np.int64)
-        self.edits, self.budget = edit_budget(self.length, rate), edit_budget(self.length, accept)
+        self.exact = self.length < min_chars
+        self.edits, self.budget = (np.where(self.exact, 0, edit_budget(self.length, r)) for r in (rate, accept))
         # q-gram lemma: with e edits at least this many of the item's q-grams stay, on diagonals at most e apart.
         self.least = np.maximum(1, self.length - Q + 1 - Q * self.edits)
         self.half = np.maximum(1, self.edits)  # of a band
@@ -113,6 +120,8 @@ class PassageIndex:
         pattern, budget = self.items[item], int(self.budget[item])
         left = max(begin, low - budget)
         right = min(end, low + 2 * int(self.half[item]) + len(pattern) + budget)
+        if self.exact[item]:
+            return self._words(data, pattern, left, right, begin, end)
         whole = data[left:right].tobytes().find(pattern.tobytes())
         if whole >= 0:  # no alignment is better than an exact one
             return 0, left + whole, left + whole + len(pattern)
@@ -145,6 +154,16 @@ class PassageIndex:
         k = int(np.argmin(cost))
         return (int(cost[k]), int(origin[k]), int(stop[k])) if cost[k] <= budget else None
 
+    @staticmethod
+    def _words(data: np.ndarray, pattern: np.ndarray, left: int, right: int, begin: int, end: int) -> tuple[int, int, int] | None:
+        """The first place in [left, right) where the whole words of a short item stand."""
+        window, wanted, at = data[left:right].tobytes(), pattern.tobytes(), -1
+        while (at := window.find(wanted, at + 1)) >= 0:
+            start, stop = left + at, left + at + len(pattern)
+            if (start == begin or data[start - 1] == _BLANK) and (stop >= end or data[stop] == _BLANK):
+                return 0, start, stop
+        return None
+
     def search(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(text number, item number, edits, start, end) of the best occurrence of every item in every text."""
         data, offsets = normal(column)
@@ -184,9 +203,10 @@ def find_passages(
     which start and end count bytes. A passage within ``rate`` edits per byte of the item is always found; one within
     ``accept`` is found if it still shares the q-grams of a band, as when whole words were replaced. Items are
     held in blocks of about ``block_bytes`` in every task; each block is one pass over the documents, so the benchmark
-    may have any size and what a task holds is bounded. Items shorter than ``min_chars`` bytes are too common to prove
-    anything and are skipped, like null ones. Null and empty documents hold nothing. Repeated rows and items come out
-    once each; null ids are carried along; other columns are not read.
+    may have any size and what a task holds is bounded. Items whose normal form is shorter than ``min_chars`` bytes must
+    stand word for word, no edits; of these, items under ``Q`` bytes, or under both ``SHORT_BYTES`` and ``SHORT_WORDS``,
+    stand everywhere and are skipped, like null ones. Null and empty documents hold nothing. Repeated rows and items come
+    out once each; null ids are carried along; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id bigint, item_id bigint, edits int, start bigint, end bigint"
@@ -201,7 +221,7 @@ def find_passages(
                     hits = own.search(batch.column(1))
                     if hits:
                         doc, item, edits, start, end = (np.array(x) for x in zip(*hits, strict=True))
-                        columns = [batch.column(0).take(pa.array(doc)), pa.array(own.ids[item]), pa.array(edits, pa.int32()), pa.array(start), pa.array(end)]
+                        columns = [batch.column(0).take(pa.array(doc)), own.ids.take(pa.array(item)), pa.array(edits, pa.int32()), pa.array(start), pa.array(end)]
                         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "edits", "start", "end"])
 
         part = rows.mapInArrow(search, schema)
@@ -215,15 +235,14 @@ def _blocks(
     """Indexes over the items, block by block, in the order of their ids."""
     items = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col(item_text).cast("string").alias("text")
-    ).filter(F.octet_length("text") >= min_chars).dropDuplicates()
+    ).filter(F.octet_length("text") >= Q).dropDuplicates()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
     if n > 1:
         items = stored(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "benchmark")
     for k in range(n):
         rows = (items.filter(F.col("block") == k) if n > 1 else items).orderBy("item_id", "text").collect()
-        texts = [(r["item_id"], r["text"]) for r in rows if r["item_id"] is not None]
-        yield PassageIndex([i for i, _ in texts], [t for _, t in texts], rate, accept)
+        yield PassageIndex([r["item_id"] for r in rows], [r["text"] for r in rows], rate, accept, min_chars)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

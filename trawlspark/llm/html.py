@@ -31,7 +31,7 @@ CLOSES = {
 
 # Parts of a page that are not its article: by element, by role, and by names in class and id.
 NOISE_TAGS = RAW | set(
-    "aside audio button canvas datalist dialog footer form head menu nav noscript object picture select svg template video".split()
+    "aside audio button canvas datalist dialog footer head menu nav noscript object picture select svg template video".split()
 )
 NOISE_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 NOISE_WORDS = set(
@@ -88,6 +88,8 @@ def _is_noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     """(whether the element is noise, whether by a name that ``judge`` may overrule)."""
     if tag in NOISE_TAGS or tag == "header" and not in_article:
         return True, False
+    if tag == "form":
+        return True, True  # some page frames wrap the whole page in one
     if not attributes.strip() or tag in ("html", "body"):
         return False, False
     found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
@@ -102,7 +104,7 @@ def _is_noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
 
 
 def judge(nodes: list[Node]) -> None:
-    """Blocks that are noise by name alone but hold more than half of the page's text are left to their density."""
+    """Blocks that are noise by name alone, and forms, are left to their density if they hold over half of the page's text."""
     volume = {}
     for node in reversed(nodes):
         inside = (len(c.strip()) if isinstance(c, str) else volume[c] for c in node.children)

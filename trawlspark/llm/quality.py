@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, let, stored
-from .lines import line_keys, row_key, split_lines
+from .lines import line_keys, split_lines
 
 WINDOW = 8
 _END = 2**30  # more than any number of words
@@ -68,6 +68,13 @@ def base_metrics(text: Column) -> dict[str, Column]:
     }
 
 
+def _row_key(docs: DataFrame, host: str, text: str) -> Column:
+    """128 bits that tell rows apart by id, text and host, nulls included; equal rows are decided alike."""
+    parts = [docs["doc_id"].cast("bigint"), docs[host].cast("string"), docs[text].cast("string")]
+    parts += [c.isNull() for c in parts]
+    return F.struct(F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts))
+
+
 def quality_rules(
     docs: DataFrame,
     min_words: int = 20,
@@ -101,7 +108,7 @@ def quality_rules(
         docs.select(
             docs["doc_id"].cast("bigint").alias("doc_id"),
             docs[host].cast("string").alias("host"),
-            row_key(docs, text).alias("row_key"),
+            _row_key(docs, host, text).alias("row_key"),
             *[c.alias(n) for n, c in metrics.items()],
             lines.alias("lines"),
         ),
