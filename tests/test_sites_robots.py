@@ -99,3 +99,28 @@ def test_many_rules_do_not_multiply_urls(spark):
     urls = spark.range(1000).select(F.lit("h").alias("host"), F.format_string("http://h/%d/", "id").alias("url"))
     got = robots.robots_allowed(urls, parsed(spark, body))
     assert got.count() == 1000 and got.filter("allowed").count() == 500
+
+
+@pytest.mark.parametrize("options", [{}, {"fallback_star": True, "ignore_empty": True}])
+def test_prefix_join_equals_the_list_of_rules(spark, rows, options):
+    import random
+
+    rng = random.Random(5)
+    parts = ["", "/", "/a", "/ab", "/a/b", "/a/b/c", "/é", "/x%20y", "/long/path/of/many/parts"]
+    rule = [(rng.choice("hgk"), rng.choice([robots.DEFAULT_AGENT, "*", "other"]), rng.choice(["allow", "disallow"]), rng.choice(parts), i // 3, i) for i in range(40)]
+    table = spark.createDataFrame(rule, "host string, agent string, kind string, prefix string, section int, pos int")
+    urls = [(n, f"http://{h}{p}{q}", h) for n, (h, p, q) in enumerate((h, p, q) for h in "hgkz" for p in parts[1:] for q in ("", "/z", "b"))]
+    urls += [(900, urls[0][1], "h"), (901, None, None), (902, "http://h/a", None)]
+    frame = spark.createDataFrame(urls, "url_id int, url string, host string")
+    want = rows(robots.robots_allowed(frame, table, **options), "url_id", "allowed")
+    assert rows(robots.robots_allowed_by_prefix(frame, table, **options), "url_id", "allowed") == want
+
+
+def test_a_hundred_thousand_rules_of_one_host(spark):
+    table = spark.range(100_000).select(
+        F.lit("h").alias("host"), F.lit(robots.DEFAULT_AGENT).alias("agent"), F.lit("disallow").alias("kind"),
+        F.concat(F.lit("/d"), F.col("id"), F.lit("/")).alias("prefix"), F.lit(0).alias("section"), F.col("id").cast("int").alias("pos"),
+    )
+    urls = spark.range(1_000_000).select(F.lit("h").alias("host"), F.concat(F.lit("http://h/d"), F.col("id") % 200_000, F.lit("/p")).alias("url"))
+    got = robots.robots_allowed_by_prefix(urls, table).groupBy("allowed").count().collect()
+    assert {r["allowed"]: r["count"] for r in got} == {True: 500_000, False: 500_000}

@@ -103,3 +103,32 @@ def robots_allowed(
         .withColumn(out, path_allowed(url_path("url"), F.col("allow"), F.col("disallow")))
         .drop("allow", "disallow")
     )
+
+
+def robots_allowed_by_prefix(
+    urls: DataFrame,
+    rules: DataFrame,
+    agent: str = DEFAULT_AGENT,
+    fallback_star: bool = False,
+    ignore_empty: bool = False,
+    out: str = "allowed",
+) -> DataFrame:
+    """``robots_allowed`` for hosts with very many rules: no path is held against a list of rules.
+
+    A path is cut at the lengths that the rules of its host have (one array per host, as long as there are different
+    lengths), and the pieces are joined to the rules by equality. Each different path of a host is looked up once; the
+    answers are combined before their shuffle and joined back by host and path.
+    """
+    listed = host_rules(rules, agent, fallback_star, ignore_empty)
+    kinds = [listed.select("host", F.explode_outer(k).alias("prefix"), F.lit(k == "allow").alias("allow")) for k in ("allow", "disallow")]
+    known = kinds[0].unionAll(kinds[1]).filter(F.col("prefix").isNotNull())
+    table = known.groupBy("host", "prefix").agg(F.max("allow").alias("allow"))  # an allow decides over an equal disallow
+    lengths = table.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    rows = urls.withColumn("_path", url_path("url"))
+    pieces = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    paths = rows.select("host", F.col("_path").alias("path")).distinct().join(lengths, "host")
+    cut = paths.select("host", "path", F.explode(pieces).alias("prefix"))
+    hits = cut.join(table, ["host", "prefix"]).groupBy("host", "path").agg(F.max("allow").alias("_allow"))
+    found = hits.withColumnRenamed("path", "_path")
+    # No rule that fits means yes; else it takes an allow among those that fit.
+    return rows.join(found, ["host", "_path"], "left").withColumn(out, F.coalesce("_allow", F.lit(True))).drop("_path", "_allow").select(*urls.columns, out)

@@ -349,6 +349,13 @@ def robots_allowed(i):
     return got.select("url_id", "allowed")
 
 
+@_query
+def robots_allowed_prefix(i):
+    """The same by equality of path prefixes, for hosts with very many rules."""
+    got = robots.robots_allowed_by_prefix(i.frontier(), robots.parse_robots(i.robots()))
+    return got.select("url_id", "allowed")
+
+
 @_query
 def robots_allowed_options(i):
     """With "*" as fallback and empty prefixes ignored."""

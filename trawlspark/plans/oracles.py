@@ -296,7 +296,7 @@ def oracle_sql() -> dict[str, str]:
         coalesce(string_agg(prefix, '|' ORDER BY pos) FILTER (WHERE kind = 'allow'), '') AS allow,
         coalesce(string_agg(prefix, '|' ORDER BY pos) FILTER (WHERE kind = 'disallow'), '') AS disallow
         FROM rules GROUP BY host, agent""", "rules")
-    q["robots_allowed"] = _sql("SELECT url_id, allowed FROM permitted", "permitted")
+    q["robots_allowed_prefix"] = q["robots_allowed"] = _sql("SELECT url_id, allowed FROM permitted", "permitted")
     q["robots_allowed_options"] = _sql(f"""SELECT f.url_id, coalesce(bool_or(kind = 'allow' AND starts_with(path, prefix)), false)
             OR NOT coalesce(bool_or(kind = 'disallow' AND prefix <> '' AND starts_with(path, prefix)), false) AS allowed
         FROM (SELECT *, {_path('url')} AS path FROM frontier) f
