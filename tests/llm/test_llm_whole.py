@@ -2,9 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from test_llm_methods import story
+from test_llm_methods import story, union_find
 
 from trawlspark.llm import decontaminate, html, mixing, passages, quality
 
@@ -32,6 +33,63 @@ def test_parts_of_a_failing_chain(spark):
     ]
 
 
+def holds_passage(x, y, least=50, identity=0.8):
+    """Plain check of two rows of the same length whose words were only replaced."""
+    same = [a == b for a, b in zip(x, y, strict=True)]
+    sums = [0]
+    for s in same:
+        sums.append(sums[-1] + s)
+    n = len(same)
+    return any(sums[j] - sums[i] >= identity * (j - i) for i in range(n) for j in range(i + least, n + 1))
+
+
+def replaced(rng, words, rate):
+    return [story(rng, 1)[0] + "x" if rng.random() < rate else w for w in words]
+
+
+@pytest.mark.parametrize(("n", "rate", "share"), [(60, 0.05, 0.98), (60, 0.1, 0.93), (60, 0.15, 0.85), (100, 0.15, 0.95)])
+def test_pairs_with_replaced_words_as_by_brute_force(spark, n, rate, share):
+    rng, rows, want = random.Random(n), [], set()
+    for i in range(0, 300, 2):
+        one = story(rng, n)
+        two = replaced(rng, one, rate)
+        rows += [(i, " ".join(story(rng, 80) + one + story(rng, 80))), (i + 1, " ".join(story(rng, 70) + two + story(rng, 90)))]
+        want |= {(i + 1, i)} if holds_passage(one, two) else set()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["other_id"]) for r in passages.shared_passages(df).collect()}
+    assert got <= {(i + 1, i) for i in range(0, 300, 2)} and len(want) > 120
+    assert len(got & want) >= share * len(want)
+
+
+def test_a_group_with_replaced_words_hangs_together(spark):
+    rng = random.Random(21)
+    one = story(rng, 80)
+    copies = [replaced(rng, one, 0.05) for _ in range(150)]
+    find = union_find(150, [(i, j) for i in range(150) for j in range(i) if holds_passage(copies[i], copies[j])])
+    df = spark.createDataFrame([(i, " ".join(story(rng, 50) + c + story(rng, 40))) for i, c in enumerate(copies)], "doc_id long, text string")
+    links = passages.shared_passages(df).collect()
+    found = union_find(150, [(r["doc_id"], r["other_id"]) for r in links])
+    assert len({find(i) for i in range(150)}) == len({found(i) for i in range(150)}) == 1
+    assert len({(r["doc_id"], r["other_id"]) for r in links}) < 150 * 149 / 8  # far from all pairs
+
+
+def test_links_from_either_side(spark):
+    rng = random.Random(3)
+    one = story(rng, 70)
+    rows = [(i, " ".join(story(rng, 10 * i) + one + story(rng, 30))) for i in (1, 2, 3)] + [(4, " ".join(story(rng, 90)))]
+    links = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    both = passages.from_either_side(links)
+    assert both.columns == links.columns and both.count() == 2 * links.count()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in both.collect()} == {(i, 10 * i, 10 * i + 70) for i in (1, 2, 3)}
+
+
+def test_words_in_common_bound_the_matches():
+    rows = [[1, 2, 3, 3], [], [-1, 5], [7]], [[3, 2], [1], [5, -1, -1], []]
+    x, y = (pa.array(r, pa.list_(pa.int32())) for r in rows)
+    assert passages.common_words(x, y).tolist() == [3, 0, 2, 0]
+    assert passages.common_words(x.slice(2), y.slice(2)).tolist() == [2, 0]
+
+
 # --- 1 mixing ------------------------------------------------------------------------------------------------------
 
 
