@@ -29,14 +29,41 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if n < len(word))]
 
 
-def terms(text: str | None, space: set[str] | dict[str, float]) -> Counter:
-    """How often each term of ``space`` stands in the text: words of letters, in lower case, and their beginnings."""
-    found: Counter = Counter()
-    for word, n in Counter(TERM.findall((text or "").lower())).items():
-        for form in forms(word):
-            if form in space:
-                found[form] += n
-    return found
+class Space:
+    """The terms that count: words of letters, in lower case, and their beginnings."""
+
+    def __init__(self, names: list[str]):
+        self.names = frozenset(names)
+        # Every form of a word begins with the word's first letters, so most words are passed over by one look.
+        self.heads = frozenset(t.rstrip("*")[: STEMS[0]] for t in names)
+
+    def count(self, text: str | None) -> Counter:
+        """How often each term stands in the text."""
+        found: Counter = Counter()
+        near = [w for w in TERM.findall((text or "").lower()) if w[: STEMS[0]] in self.heads]
+        for word, n in Counter(near).items():
+            for form in forms(word):
+                if form in self.names:
+                    found[form] += n
+        return found
+
+
+def document_frequencies(docs: DataFrame, space: Space, text: str = "text") -> DataFrame:
+    """(term, n): the rows of ``docs`` with each term of the space; the term '' has the number of all rows.
+
+    A task adds up the rows of a batch, so few rows are shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(whole, "text"):
+                found = Counter({"": part.num_rows})
+                for t in part.column(0).to_pylist():
+                    found.update(space.count(t).keys())
+                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["term", "n"])
+
+    texts = docs.select(F.col(text).cast("string").alias("text"))
+    return texts.mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 class BlockMaxIndex:
@@ -90,13 +117,14 @@ class Model:
 
     def __init__(self, idf: dict[str, float], index: BlockMaxIndex, prior: float, k: int, prior_weight: float):
         self.idf, self.index, self.prior, self.k, self.prior_weight = idf, index, prior, k, prior_weight
+        self.space = Space(list(idf))
 
     def score(self, text: str | None) -> tuple[float, list[int]]:
         """(probability, ids of the voting examples, nearest first).
 
         Votes weigh 1 / (1 - cosine + 0.1), the prior counts as ``prior_weight`` such votes at cosine 0.
         """
-        query = unit_vector(terms(text, self.idf), self.idf)
+        query = unit_vector(self.space.count(text), self.idf)
         if not query:
             return self.prior, []
         rows, cosines = self.index.nearest(query, self.k)
@@ -122,7 +150,6 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     max_examples: int = 2000,
-    max_terms: int = 256,
     min_contexts: int = 5,
     k: int = 15,
     prior_weight: float = 1.0,
@@ -131,11 +158,12 @@ def fit(
 ) -> Model:
     """Learn from at most ``max_examples`` rows of each label outside fold 0, taken in the order of a hash of the id.
 
-    Terms of the vector space are the ``max_terms`` that mark label 1 most (G statistic above chance among so many terms,
-    and at least four times the share of label 0), counted in distinct contexts (a word with both neighbours), so
-    copies of one text count once.
-    Document frequencies are those of the examples. Without an example of either label the space is empty and every
-    score is the prior. Only the bounded examples, reduced to these terms, reach the driver.
+    Terms of the vector space are all that mark label 1 (G statistic above chance among so many terms, and at least four
+    times the share of label 0), counted in distinct contexts (a word with both neighbours), so copies of one text count
+    once. Words that do not mark a label have no dimension: with them, cosines say which texts share a subject or a
+    language. Document frequencies are those of all rows of ``docs``. Without an example of either label the space is
+    empty and every score is the prior. Only the bounded examples, reduced to these terms, and one number per term reach
+    the driver.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("label_id"), (F.col(label) > 0).cast("int").alias("y")
@@ -178,21 +206,20 @@ def fit(
     marks = counts.withColumn("gain", gain).filter(
         (p >= min_contexts) & ((p / all_p) >= 4 * (q + 1) / all_q) & (F.col("gain") > math.log(totals["n"]) + 5)
     )
-    chosen = [r["term"] for r in marks.orderBy(F.desc("gain"), "term").limit(max_terms).select("term").collect()]
-    space = set(chosen)
+    space = Space([r["term"] for r in marks.select("term").collect()])
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 1_000_000):
                 texts = part.column(2).to_pylist()
-                kept = [sorted((t, n) for t, n in terms(x, space).items()) for x in texts]
+                kept = [sorted(space.count(x).items()) for x in texts]
                 kinds = pa.list_(pa.struct([("t", pa.string()), ("n", pa.int64())]))
                 packed = pa.array([[{"t": t, "n": n} for t, n in row] for row in kept], kinds)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed], ["doc_id", "y", "terms"])
 
     vectors = examples.mapInArrow(reduce, "doc_id bigint, y int, terms array<struct<t:string,n:bigint>>").collect()
-    df = Counter(t["t"] for r in vectors for t in r["terms"])
-    idf = {t: math.log((1 + len(vectors)) / (1 + n)) + 1.0 for t, n in df.items()}
+    df = {r["term"]: r["n"] for r in document_frequencies(docs, space, text).collect()}
+    idf = {t: math.log((1 + df[""]) / (1 + df[t])) + 1.0 for t in sorted(space.names)}
     rows_used = sorted({(r["doc_id"], r["y"], tuple((t["t"], t["n"]) for t in r["terms"])) for r in vectors if r["terms"]})
     units = [unit_vector(dict(ts), idf) for _, _, ts in rows_used]
     index = BlockMaxIndex(units, [r[0] for r in rows_used], [r[1] for r in rows_used])
@@ -202,7 +229,7 @@ def fit(
 def _scored(docs: DataFrame, model: Model, name: str, text: str, evidence: str) -> DataFrame:
     """All columns of ``docs``, the score, and the ids of the voting examples."""
     at = docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
