@@ -232,3 +232,19 @@ def test_cost_of_a_long_text_grows_with_its_length(spark):
     seconds(1000)
     short, long = seconds(20_000), seconds(200_000)
     assert long < 30 * max(short, 0.5)
+
+
+def test_running_sums_of_many_numbers(spark):
+    sizes = [0, 1, 3, 4, 5, 16, 17, 63, 64, 65, 1000, 60_000]
+    df = spark.createDataFrame([(n,) for n in sizes], "n int").select(
+        "n", F.when(F.col("n") > 0, F.sequence(F.lit(1), F.greatest("n", F.lit(1)))).otherwise(F.array().cast("array<int>")).alias("x")
+    ).unionByName(spark.range(1).select(F.lit(-1).alias("n"), F.lit(None).cast("array<int>").alias("x")))
+    got = {r["n"]: r["s"] for r in df.select("n", chunks.running_sums(F.col("x")).alias("s")).collect()}
+    assert got.pop(-1) is None
+    assert got == {n: [k * (k + 1) // 2 for k in range(n + 1)] for n in sizes}
+
+
+def test_tokens_are_found_in_one_pass(spark):
+    df = spark.createDataFrame([(1, "some text")], "doc_id int, text string")
+    text = chunks.tokenize(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract_all") == 1  # before: one for runs of tokens and two more inside each run

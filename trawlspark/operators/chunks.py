@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,8 @@ TokenSpans = Callable[[str], Sequence[tuple[str, int, int]]]
 _TOKENS = "array<struct<pos:int,token:string,start:int,end:int>>"
 # Possessive forms, so that Java walks a counted run of tokens in a loop and never backtracks into a token.
 _ONE = r"\s*+(?:\w++|[^\w\s])"
-# Tokens that are numbered together: sums run over the runs of a text, then inside each run, so both stay short.
-_RUN = 256
+_BLANKS = " \t\n\x0b\f\r"  # what the patterns take for white space
+_BLOCK = 4  # numbers that are summed in one expression
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -25,28 +26,59 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def running_sums(numbers: Column) -> Column:
-    """0 and the sums of the first, the first two, … numbers: one fold that carries the array."""
-    return F.reduce(numbers, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+    """0 and the sums of the first, the first two, … numbers."""
+    whole = lambda own: F.slice(F.concat(F.array(F.lit(0)), _sums(own)), F.lit(1), F.size(own) + 1)
+    return F.when(numbers.isNotNull(), _let(numbers, whole))
 
 
-def _native_tokens(text: Column) -> Column:
-    """Array of (token, start, end) of the default tokenizer."""
-    runs = F.regexp_extract_all(text, F.lit(f"(?:{_ONE}){{1,{_RUN}}}+"), F.lit(0))
+def _sums(numbers: Column, levels: int = 8) -> Column:
+    """The sums of the first, the first two, … numbers, and up to a block of nulls.
 
-    def spans(run: Column, before: Column) -> Column:
-        tokens = F.regexp_extract_all(run, F.lit(r"\s*+(\w++|[^\w\s])"), F.lit(1))
-        ends = running_sums(F.transform(F.regexp_extract_all(run, F.lit(_ONE), F.lit(0)), F.length))
+    Sums inside blocks are written out; the totals of the blocks are summed the same way, and few are left for a fold,
+    which copies what it has so far at every step.
+    """
+    if levels == 0:
+        first = F.slice(numbers, 1, 1)
+        return F.reduce(F.slice(numbers, F.lit(2), F.size(numbers)), first, lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+
+    def inside(block: Column) -> Column:
+        each = [F.get(block, F.lit(j)) for j in range(_BLOCK)]
+        return F.array(*[reduce(Column.__add__, each[: j + 1]) for j in range(_BLOCK)])
+
+    def blocked(own: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(own), F.lit(1)), F.lit(_BLOCK))
+        return F.transform(F.transform(starts, lambda at: F.slice(own, at, F.lit(_BLOCK))), inside)
+
+    def joined(blocks: Column) -> Column:
+        # What is missing in the last block makes its total null, which no block comes after.
+        upto = _sums(F.transform(blocks, lambda b: F.get(b, F.lit(_BLOCK - 1))), levels - 1)
+        before = lambda b, s: F.array(*[s + F.get(b, F.lit(j)) for j in range(_BLOCK)])
+        later = _let(upto, lambda s: F.transform(F.slice(blocks, F.lit(2), F.size(blocks)), lambda b, k: before(b, F.get(s, k))))
+        return F.concat(F.get(blocks, F.lit(0)), F.flatten(later))
+
+    many = _let(_let(numbers, blocked), joined)
+    return F.when(F.size(numbers) > _BLOCK, many).otherwise(inside(numbers)) if levels < 8 else many
+
+
+def _native_tokens(text: Column, add_special: bool) -> Column:
+    """Array of (pos, token, start, end) of the default tokenizer: one pass of the pattern, blanks before a token with it."""
+
+    def marker(pos: Column, token: str) -> Column:
+        return F.array(F.struct(pos.alias("pos"), F.lit(token).alias("token"), F.lit(0).alias("start"), F.lit(0).alias("end")))
 
-        def span(token: Column, end: Column) -> Column:
-            return F.struct(token.alias("token"), (before + end - F.length(token)).alias("start"), (before + end).alias("end"))
+    def spans(pieces: Column) -> Column:
+        tokens = F.transform(pieces, lambda p: F.ltrim(p, F.lit(_BLANKS)))
+        first = 1 if add_special else 0
 
-        return F.zip_with(tokens, F.slice(ends, F.lit(2), F.lit(_RUN)), span)
+        def numbered(ends: Column) -> Column:
+            return F.transform(tokens, lambda t, i: F.struct(
+                (i + first).alias("pos"), t.alias("token"), (F.get(ends, i) - F.length(t)).alias("start"), F.get(ends, i).alias("end")
+            ))
 
-    def whole(found: Column) -> Column:
-        before = running_sums(F.transform(found, F.length))
-        return F.flatten(_let(before, lambda b: F.transform(found, lambda r, i: spans(r, F.get(b, i)))))
+        found = _let(_sums(F.transform(pieces, F.length)), numbered)
+        return F.concat(marker(F.lit(0), "[CLS]"), found, marker(F.size(pieces) + 1, "[SEP]")) if add_special else found
 
-    return _let(runs, whole)
+    return _let(F.regexp_extract_all(text, F.lit(_ONE), F.lit(0)), spans)
 
 
 def tokenize(df: DataFrame, text: str, tokenizer: TokenSpans | None = None, add_special: bool = True) -> DataFrame:
@@ -56,13 +88,8 @@ def tokenize(df: DataFrame, text: str, tokenizer: TokenSpans | None = None, add_
     and runs in Python on Arrow batches. Jobs that need only counts or chunk spans use those forms instead.
     """
     if tokenizer is None:
-        marker = [F.array(F.struct(F.lit(m).alias("token"), F.lit(0).alias("start"), F.lit(0).alias("end"))) for m in ("[CLS]", "[SEP]")]
-        found = _native_tokens(F.col(text))
-        if add_special:
-            found = F.concat(marker[0], found, marker[1])
-        numbered = F.transform(found, lambda t, i: F.struct(i.alias("pos"), t["token"].alias("token"), t["start"].alias("start"), t["end"].alias("end")))
         # A generator keeps later filters and fields on one copy of the array.
-        return df.select(*[c for c in df.columns if c != "tokens"], F.explode(F.array(numbered)).alias("tokens"))
+        return df.select(*[c for c in df.columns if c != "tokens"], F.explode(F.array(_native_tokens(F.col(text), add_special))).alias("tokens"))
 
     @F.pandas_udf(_TOKENS)
     def spans(texts: pd.Series) -> pd.Series:
