@@ -3,7 +3,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trawlspark.operators import frontier
 from trawlspark.operators.embed import EmbedConfig
@@ -160,6 +162,87 @@ def test_visits_expire_in_time_order(spark, tmp_path):
     assert states[-1] <= 4
 
 
+def test_rows_of_one_time_and_rows_behind_a_long_queue_keep_their_turn(spark, tmp_path):
+    """A hot key over several runs and triggers, many rows of one time, and rows that overtake those which wait."""
+    rng = random.Random(5)
+    times = [T0 + dt.timedelta(seconds=rng.randint(0, 40)) for _ in range(3000)]
+    events = sorted((("hot" if i % 3 else f"k{i % 40}"), at, i) for i, at in enumerate(times))
+    events.sort(key=lambda e: e[1] + dt.timedelta(seconds=rng.randint(0, 8)))
+    far = [("z", T0 + dt.timedelta(days=3650), -1)]
+    stream = feed(spark, str(tmp_path / "in"), EVENT, *(events[at : at + 1000] for at in range(0, 3000, 1000)), far)
+    got, states = drained_states(spark, ordered.paced_stream(stream, 0.5, delay="30 seconds"))
+    want, free = {}, {}
+    for host, ts, seq in sorted(events, key=lambda e: (e[1], e[2])):
+        want[seq] = max(ts, free.get(host, ts))
+        free[host] = want[seq] + dt.timedelta(seconds=0.5)
+    assert len(got) == len(events) and {r["seq"]: r["released_at"] for r in got} == want
+    assert max(states) < 2 * len(events) / 3 and states[-1] <= 4  # rows that came together share entries
+
+
+def test_runs_are_read_a_part_at_a_time():
+    """The rule itself, with state in plain dicts: runs shorter than a trigger's rows, one part of each read at once."""
+
+    class Value:
+        kept = None
+
+        def get(self):
+            return self.kept
+
+        def update(self, v):
+            self.kept = v
+
+        def clear(self):
+            self.kept = None
+
+    class Map(dict):
+        calls = 0
+
+        def updateValue(self, k, v):
+            self.calls += 1
+            self[k] = v
+
+        def getValue(self, k):
+            self.calls += 1
+            return self[k]
+
+        def removeKey(self, k):
+            self.calls += 1
+            del self[k]
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.book, self.parts = set(), Value(), Map()
+
+        def getValueState(self, *_):
+            return self.book
+
+        def getMapState(self, *_):
+            return self.parts
+
+        def registerTimer(self, ms):
+            self.timers.add(ms)
+
+    class At:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType())])
+    rng, second = random.Random(6), dt.timedelta(seconds=1)
+    rows = [Row(host="h", ts=T0 + rng.randint(0, 50) * second, seq=i) for i in range(40_000)]
+    rule, handle = ordered.Visits(schema, 7_000_000), Handle()
+    rule.init(handle)
+    assert list(rule.handleInputRows(("h",), iter(rows), None)) == []
+    assert len(handle.timers) == 1 and handle.parts.calls < 300  # before: three calls a row and a timer for each time
+    out = []
+    while handle.timers:
+        at = min(handle.timers)
+        handle.timers.discard(at)
+        out += rule.handleExpiredTimer(("h",), At(at + 20_000), At(at))
+    assert [(r["ts"], r["seq"]) for r in out] == sorted((r["ts"], r["seq"]) for r in rows)
+    assert {r["seq"]: r["fresh"] for r in out} == spaced_by_hand([tuple(r) for r in rows], 7, False)
+    assert handle.book.kept is None and not handle.parts and handle.parts.calls < 2_000
+
+
 def test_pace_of_less_than_a_millisecond_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError):
         ordered.paced_stream(timed_events(spark, tmp_path)[1], 0.0001)
